@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -98,6 +99,16 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about ``size`` bytes of text, a row at least."""
+    ends = buffers(batch.column(column))[1]
+    at = 0
+    while at < len(batch):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + size, "right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+``, A-Z in lower case, of all texts in order, and for each text the place of its first one (with the end last)."""
     data, offsets = buffers(texts)

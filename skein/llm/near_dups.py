@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import buffers, columns, discard, mix, shingles, stored, table, words
+from .common import buffers, columns, discard, mix, shingles, slices, stored, table, words
 from .components import components
 
 BANDS, ROWS = 32, 5
@@ -50,7 +50,7 @@ def least_matches(similarity: float, miss: float) -> list[tuple[int, int]]:
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (x for whole in batches for x in slices(whole)):
             hashes, at = words(batch.column("text"))
             n, high, low, signatures = [], [], [], []
             for a, b in zip(at[:-1], at[1:], strict=True):
