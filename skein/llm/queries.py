@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import line_runs, units
 from .near_dups import op3_near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_duplicates": op3_near_duplicates,
+    "op6_line_runs": line_runs.op6_line_runs,
+    "op10_unit_dedup": units.op10_unit_dedup,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = line_runs.ORACLE | units.ORACLE
