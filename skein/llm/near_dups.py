@@ -17,6 +17,8 @@ from .components import components
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 BATCH = 32
+#: Rows of a bucket's block, on average.
+BLOCK_ROWS = 1024
 _SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTORS = (_SEEDS >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _MASKS = (_SEEDS & np.uint64(0xFFFFFFFF)).astype(np.uint32)
@@ -119,6 +121,93 @@ def _verify(size: int, percent: int):
     return run
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each ``block``, of batches sorted by it; only the block under way is held over."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        keys = batch.column("block").to_numpy()
+        cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+        if held and len(batch) and held[-1].column("block")[-1].as_py() != keys[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        for x, y in zip(np.append(0, cuts), np.append(cuts, len(batch)), strict=True):
+            if y > x:
+                held.append(batch.slice(x, y - x))
+                if y < len(batch):
+                    yield pa.Table.from_batches(held)
+                    held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _open_pairs(rows: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a block that a link may join: of different components, of sizes that allow it, and of both sides where it has two."""
+    n, side, component, rep = (rows.column(c).to_numpy() for c in ("n_shingles", "side", "component", "rep"))
+    one = side.min() == side.max() and rows.column("single")[0].as_py()
+    x, y = np.triu_indices(len(rep), 1) if one else (np.repeat(np.flatnonzero(side == side.min()), (side != side.min()).sum()), np.tile(np.flatnonzero(side != side.min()), (side == side.min()).sum()))
+    keep = (component[x] != component[y]) & (rep[x] != rep[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+    return x[keep], y[keep]
+
+
+def _survivors(limits: list[tuple[int, int]], percent: int):
+    """Of each block the rows that keep a partner after the sequential test."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _blocks(batches):
+            x, y = _open_pairs(rows, percent)
+            signs = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32).reshape(-1, HASHES)
+            same = np.zeros(len(x), np.int64)
+            for n, least in limits:
+                for k in range(0, len(x), 1 << 16):
+                    cut = slice(k, k + (1 << 16))
+                    same[cut] += (signs[x[cut], n - BATCH : n] == signs[y[cut], n - BATCH : n]).sum(axis=1)
+                keep = same >= least
+                x, y, same = x[keep], y[keep], same[keep]
+            if len(x):
+                yield from rows.drop_columns("signature").take(pa.array(np.unique(np.concatenate([x, y])))).combine_chunks().to_batches()
+
+    return run
+
+
+def _hashed_sets(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (x for whole in batches for x in slices(whole)):
+            hashes, at = words(batch.column("text"))
+            found = [np.unique(shingles(hashes[a:b], size)).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], ["rep", "items"])
+
+    return run
+
+
+def _links(percent: int):
+    """Links of each block by the size of the intersection of its rows' sets of shingle hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _blocks(batches):
+            x, y = _open_pairs(rows, percent)
+            sets = [np.frombuffer(v, np.uint64) for v in rows.column("items").to_pylist()]
+            sizes = np.array([len(v) for v in sets])
+            universe, place = np.unique(np.concatenate(sets), return_inverse=True)
+            ends = np.cumsum(sizes)
+            places = [place[e - n : e] for e, n in zip(ends, sizes, strict=True)]
+            a, b = [], []
+            held = np.zeros(len(universe), bool)
+            firsts, starts = np.unique(x, return_index=True)  # x ascends
+            for k, others in zip(firsts, np.split(y, starts[1:]), strict=True):
+                held[places[k]] = True
+                for other in others:
+                    both = np.count_nonzero(held[places[other]])
+                    if 100 * both >= percent * (sizes[k] + sizes[other] - both):
+                        a.append(k)
+                        b.append(other)
+                held[places[k]] = False
+            if a:
+                reps = rows.column("rep").to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(reps[a], reps[b])), pa.array(np.maximum(reps[a], reps[b]))], ["a", "b"])
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: float = 1e-6) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs(doc_id, text)``.
 
@@ -127,10 +216,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: flo
     100 * intersection >= percent * union; a component is named by its smallest doc_id and keeps that document.
 
     Equal sets become one node first, so a hot group of copies costs one node. A bucket of equal bands compares its
-    members with its smallest one; the components found so far then leave only pairs across components in a bucket,
-    all of which are compared too, so no link that joins two components is skipped. Pairs whose posterior chance
-    of the wanted similarity falls under ``miss`` are pruned batch by batch; the rest are verified on the texts' own
-    words. A pair at 0.8 shares no band with probability 3e-6.
+    members with its smallest one; the components found so far then leave only pairs across components in a bucket.
+    Those are compared too, so no link that joins two components is skipped: a bucket is dealt to blocks of bounded
+    size, each pair of blocks is compared within one task, and rows leave it for links alone. Pairs whose posterior
+    chance of the wanted similarity falls under ``miss`` are pruned batch by batch; the rest are verified on their
+    sets, and links on the texts' own words. A pair at 0.8 shares no band with probability 3e-6.
 
     Rows with the same doc_id count as one document; a row without doc_id links nothing, has no component and is
     kept; an empty table gives no rows.
@@ -138,7 +228,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: flo
     docs = columns(docs, doc_id="long", text="string")
     sets = stored(docs.mapInArrow(_sets(size), "doc_id long, n_shingles long, high long, low long, signature binary"), "sets")
     classes = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("high", "low").agg(F.min("doc_id").alias("rep"))
-    reps = sets.join(classes.select(F.col("rep").alias("doc_id"), "high", "low"), ["doc_id", "high", "low"], "left_semi").select(F.col("doc_id").alias("rep"), "signature").dropDuplicates(["rep"])
+    reps = sets.join(classes.select(F.col("rep").alias("doc_id"), "high", "low"), ["doc_id", "high", "low"], "left_semi").select(F.col("doc_id").alias("rep"), "n_shingles", "signature").dropDuplicates(["rep"])
     reps = stored(reps, "reps")
     bands = reps.mapInArrow(_bands, "band long, rep long")
     shared = bands.groupBy("band").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "head")
@@ -148,21 +238,24 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: flo
     limits = least_matches(percent / 100, miss)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        signed = pairs.join(reps.select(F.col("rep").alias("a"), F.col("signature").alias("sa")), "a").join(reps.select(F.col("rep").alias("b"), F.col("signature").alias("sb")), "b")
-        likely = stored(signed.select("a", "b", "sa", "sb").mapInArrow(_prune(limits), "a long, b long"), "likely")
-        read = likely.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
+        read = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
         return stored(read.select("a", "b", "ta", "tb").mapInArrow(_verify(size, percent), "a long, b long"), "confirmed")
 
-    first = confirmed(buckets.where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct())
+    pairs = buckets.where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
+    signed = pairs.join(reps.select(F.col("rep").alias("a"), F.col("signature").alias("sa")), "a").join(reps.select(F.col("rep").alias("b"), F.col("signature").alias("sb")), "b")
+    first = confirmed(stored(signed.select("a", "b", "sa", "sb").mapInArrow(_prune(limits), "a long, b long"), "likely"))
     found = components(first)
-    named = stored(buckets.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", "head", F.coalesce("component", "rep").alias("component")), "named")
-    mixed = named.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("band")
-    open_ = stored(named.join(mixed, "band", "left_semi"), "mixed")
-    x = open_.select("band", F.col("rep").alias("a"), F.col("component").alias("ca"), "head")
-    y = open_.select("band", F.col("rep").alias("b"), F.col("component").alias("cb"))
-    across = x.join(y, "band").where("a < b AND ca <> cb AND a <> head").select("a", "b").distinct()
-    second = confirmed(across)
-    discard(named, open_)
+    named = stored(buckets.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", F.coalesce("component", "rep").alias("component")), "named")
+    mixed = named.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x < y").select("band", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks"))
+    side = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    dealt = named.join(mixed, "band").withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select(F.xxhash64("band", F.least("side", "other"), F.greatest("side", "other")).alias("block"), "rep", "component", "side", (F.col("side") == F.col("other")).alias("single"))
+    kind = "block long, rep long, component long, side long, single boolean, n_shingles long"
+    likely = stored(dealt.join(reps, "rep").select(*(x.split()[0] for x in kind.split(", ")), "signature").repartition("block").sortWithinPartitions("block").mapInArrow(_survivors(limits, percent), kind), "likely")
+    sets_of = texts.join(likely.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_hashed_sets(size), "rep long, items binary")
+    linked = likely.join(sets_of, "rep").repartition("block").sortWithinPartitions("block").mapInArrow(_links(percent), "a long, b long")
+    second = confirmed(stored(linked.distinct(), "links"))
+    discard(named)
     # round two joins whole components: its ends are renamed to what round one found
     ends = second.join(found.select(F.col("node").alias("a"), F.col("component").alias("x")), "a", "left").join(found.select(F.col("node").alias("b"), F.col("component").alias("y")), "b", "left")
     merged = components(ends.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")))
