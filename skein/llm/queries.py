@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_runs, units
-from .near_dups import op3_near_duplicates
+from . import language, line_runs, near_dups, neighbours, packing, pii, pseudo_likelihood, units
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_near_duplicates": op3_near_duplicates,
+    "op1_pii": pii.op1_pii,
+    "op3_near_duplicates": near_dups.op3_near_duplicates,
+    "op4_pseudo_likelihood": pseudo_likelihood.op4_pseudo_likelihood,
+    "op5_neighbours": neighbours.op5_neighbours,
     "op6_line_runs": line_runs.op6_line_runs,
+    "op7_packing": packing.op7_packing,
+    "op9_language": language.op9_language,
     "op10_unit_dedup": units.op10_unit_dedup,
 }
-ORACLE: dict[str, str] = line_runs.ORACLE | units.ORACLE
+ORACLE: dict[str, str] = pii.ORACLE | line_runs.ORACLE | units.ORACLE
