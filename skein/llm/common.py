@@ -9,16 +9,34 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def carry(df: DataFrame, **types: str) -> DataFrame:
+    """The named columns, cast, and behind them all columns of ``df`` by place as ``_c0``, ``_c1``, ...; of columns
+    whose names clash, also but for their case, the exact name counts first, then the first one."""
+    names = df.columns
+    low = [n.lower() for n in names]
+    at = {n: names.index(n) if n in names else low.index(n.lower()) for n in types}
+    wide = df.toDF(*[f"_c{k}" for k in range(len(names))])
+    return wide.select(*[F.col(f"_c{at[n]}").cast(t).alias(n) for n, t in types.items()], *wide.columns)
+
+
 def columns(df: DataFrame, **types: str) -> DataFrame:
     """The named columns alone, cast; extra columns, whatever their names, take no part."""
-    return df.select(*[df[f"`{name}`"].cast(kind).alias(name) for name, kind in types.items()])
+    return carry(df, **types).select(*types)
+
+
+def carried(df: DataFrame, like: DataFrame, **changed: Column) -> DataFrame:
+    """What ``df`` still holds of the columns of ``like``, under their names, with some of them changed."""
+    low = [n.lower() for n in like.columns]
+    new = {low.index(n.lower()): c.cast(like.schema[low.index(n.lower())].dataType) for n, c in changed.items() if n.lower() in low}
+    return df.select(*[new.get(k, F.col(f"_c{k}")).alias(f"_c{k}") for k in range(len(low))]).toDF(*like.columns)
 
 
 # --- scratch tables -------------------------------------------------------

@@ -8,12 +8,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import columns, slices, stored, table
+from .common import carried, carry, columns, slices, stored, table
 
 #: n-grams that a profile keeps, which is also the distance of one that it lacks.
 PROFILE = 400
 UNDETERMINED = "und"
+#: Score under which a text is of none of the languages.
+LEAST = 0.1
 #: Documents of one in so many remainders of crc32(doc_id) are held out.
 FOLDS = 5
 GRAMS_AT_ONCE = 2_000_000
@@ -123,6 +126,15 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], profile: int = PRO
     return docs.mapInArrow(_predict(profiles, profile), "doc_id long, text string, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text has letters and is no further from every language than
+    1 - ``least``. The profiles are learnt from the rows of ``docs`` that are not held out."""
+    seen = columns(docs, doc_id="long", text="string", lang="string")
+    own = carry(docs, text="string")
+    said = own.mapInArrow(_predict(learn(seen.where(~held_out())), PROFILE), T.StructType([*own.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    return carried(said.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)), docs)
+
+
 def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0, F.lit(True))
 

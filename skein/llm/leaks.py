@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import columns, mix, slices, stored, table, words
+from .common import carried, carry, columns, mix, slices, stored, table, words
 
 #: Hashed terms, dimensions of the latent space, further random directions, words of a passage that the space is fitted to, words of a step.
 TERMS, RANK, MORE, PASSAGE, STEP = 4096, 48, 16, 32, 8
@@ -205,7 +205,9 @@ def _search(bench, *limits: float):
                 n = old[3] + len(own)
                 best[text] = (share, item, near, n) if old[0] is None or (-share, item) < (-old[0], old[1]) else (*old[:3], n)
             types = (pa.float64(), pa.int64(), pa.float64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), *(pa.array([b[k] for b in best], t) for k, t in enumerate(types))], ["doc_id", "text", "share", "item_id", "cosine", "n_items"])
+            found = ["share", "item_id", "cosine", "n_items"]
+            rest = [c for c in batch.schema.names if c not in found]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *(pa.array([b[k] for b in best], t) for k, t in enumerate(types))], [*rest, *found])
 
     return run
 
@@ -223,8 +225,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, we
     items with the same id each is looked for and the id counts once a pass; without items nothing is contaminated. Items are
     broadcast 1,024 at a time, a pass over the documents for each such block; documents are never moved.
     """
+    out = _marked(columns(docs, doc_id="long", text="string"), benchmark, cosine, weight, part, whole, answer)
+    return out.select("doc_id", "text", (F.col("n_items") > 0).alias("contaminated"), "item_id", "share", "cosine", "n_items")
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no item of the benchmark."""
+    return carried(_marked(carry(docs, text="string"), benchmark, COSINE, WEIGHT, PART, WHOLE, ANSWER).where("n_items = 0"), docs)
+
+
+def _marked(docs: DataFrame, benchmark: DataFrame, *limits: float) -> DataFrame:
     spark = docs.sparkSession
-    docs, benchmark = columns(docs, doc_id="long", text="string"), columns(benchmark, item_id="long", text="string").where("item_id IS NOT NULL AND text IS NOT NULL")
+    benchmark = columns(benchmark, item_id="long", text="string").where("item_id IS NOT NULL AND text IS NOT NULL")
     kind = ", ".join(["term long", "passages long", "n long", *(f"y{k} double" for k in range(RANK + MORE))])
     total = docs.select("text").mapInArrow(_gram, kind).groupBy("term").agg(*[F.sum(x.split()[0]).alias(x.split()[0]) for x in kind.split(", ")[1:]]).toPandas()
     product, holding, passages = np.zeros((TERMS, RANK + MORE)), np.zeros(TERMS), 0
@@ -239,10 +251,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, we
     for k in range(blocks):
         own: pd.DataFrame = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).toPandas().sort_values(["item_id", "text"])
         bench = spark.sparkContext.broadcast(Benchmark(own["item_id"].tolist(), own["text"].tolist(), space, idf))
-        out = out.mapInArrow(_search(bench, cosine, weight, part, whole, answer), "doc_id long, text string, share double, item_id long, cosine double, n_items long")
+        out = out.mapInArrow(_search(bench, *limits), out.schema)
         if k + 1 < blocks:
             out = stored(out, "searched")
-    return out.select("doc_id", "text", (F.col("n_items") > 0).alias("contaminated"), "item_id", "share", "cosine", "n_items")
+    return out
 
 
 def op8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import columns, discard, stored, table
+from .common import carried, carry, columns, discard, stored, table
 
 
 def _ranked(classes: DataFrame, *key: str) -> DataFrame:
@@ -60,8 +60,24 @@ def dedup_line_runs(docs: DataFrame, least_lines: int = 2) -> DataFrame:
     count once and get the same result; an empty table gives no rows. A hot line meets as a partial aggregate, and joins
     on it are sort-merge joins that adaptive execution splits.
     """
-    docs = columns(docs, doc_id="long", text="string").withColumn("row_hash", F.xxhash64("text"))
-    lines, levels = repeated_runs(docs.where("doc_id IS NOT NULL"), least_lines)
+    return _cut(columns(docs, doc_id="long", text="string"), least_lines).select("doc_id", "text", "n_lines", "n_removed", "repeat_depth")
+
+
+def without_line_runs(docs: DataFrame, least_lines: int = 2) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without the later copies of repeated runs of lines; ``n_chars``
+    follows the text. Rows of which nothing but blank lines is left are copies from end to end and go."""
+    out = _cut(carry(docs, doc_id="long", text="string"), least_lines)
+    out = out.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    changed = F.col("n_removed") > 0
+    at = [n.lower() for n in docs.columns].index("n_chars") if "n_chars" in [n.lower() for n in docs.columns] else None
+    n_chars = {} if at is None else {"n_chars": F.when(changed, F.length("text")).otherwise(F.col(f"_c{at}"))}
+    return carried(out, docs, text=F.col("text"), **n_chars)
+
+
+def _cut(docs: DataFrame, least_lines: int) -> DataFrame:
+    rest = docs.columns[2:]
+    docs = docs.withColumn("row_hash", F.xxhash64("text"))
+    lines, levels = repeated_runs(docs.select("doc_id", "text", "row_hash").where("doc_id IS NOT NULL"), least_lines)
     deep = [(d, rows) for d, rows in levels if d >= least_lines]
     if deep:
         runs = deep[0][1].where("later").select("doc_id", "row_hash", F.explode(F.sequence(F.col("pos"), F.col("pos") + least_lines - 1)).alias("pos")).distinct()
@@ -76,7 +92,7 @@ def dedup_line_runs(docs: DataFrame, least_lines: int = 2) -> DataFrame:
     kept = F.array_except(F.sequence(F.lit(0), F.size("l") - 1), F.col("gone"))
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("l", i)), "\n"))
     n = F.coalesce(F.size(F.filter("l", lambda x: F.trim(x) != "")), F.lit(0))
-    return out.select("doc_id", text.alias("text"), F.when(F.col("text").isNull(), 0).otherwise(n).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce("repeat_depth", F.lit(0).cast("long")).alias("repeat_depth"))
+    return out.select("doc_id", text.alias("text"), *rest, F.when(F.col("text").isNull(), 0).otherwise(n).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce("repeat_depth", F.lit(0).cast("long")).alias("repeat_depth"))
 
 
 def op6_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import buffers, columns, discard, mix, shingles, slices, stored, table, words
+from .common import buffers, carried, carry, columns, discard, mix, shingles, slices, stored, table, words
 from .components import components
 
 BANDS, ROWS = 32, 5
@@ -266,5 +266,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: flo
     return out.select("doc_id", "n_shingles", group.alias("component_id"), F.coalesce(F.col("doc_id") == group, F.lit(True)).alias("kept"))
 
 
+def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are the first of their group of near duplicates; rows without
+    doc_id are in no group, and of rows with the same doc_id one stays."""
+    kept = near_duplicates(docs, size, percent).where("kept AND doc_id IS NOT NULL").select("doc_id")
+    own = carry(docs, doc_id="long")
+    first = own.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return carried(first.union(own.where("doc_id IS NULL")), docs)
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=2)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from . import chat, language, leaks, line_runs, near_dups, neighbours, packing, pii, pseudo_likelihood, units
@@ -19,5 +20,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_leaks": leaks.op8_leaks,
     "op9_language": language.op9_language,
     "op10_unit_dedup": units.op10_unit_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = pii.ORACLE | line_runs.ORACLE | units.ORACLE
