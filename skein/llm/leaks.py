@@ -15,9 +15,9 @@ from .common import carried, carry, columns, mix, slices, stored, table, words
 #: Hashed terms, dimensions of the latent space, further random directions, words of a passage that the space is fitted to, words of a step.
 TERMS, RANK, MORE, PASSAGE, STEP = 4096, 48, 16, 32, 8
 #: Share of the passages from which a term counts as common and says next to nothing.
-COMMON = 0.01
+COMMON = 0.02
 #: Cosine in the latent space, then share of an item's TF-IDF weight on terms that the passage holds, from which it is a candidate.
-COSINE, WEIGHT = 0.55, 0.45
+COSINE, WEIGHT = 0.5, 0.45
 #: Share of an item's words, in order, that make a leak if its answer is there too, and by itself; share of the answer.
 PART, WHOLE, ANSWER = 0.6, 0.8, 0.5
 ANSWER_WORDS = 8
