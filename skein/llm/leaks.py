@@ -17,7 +17,7 @@ TERMS, RANK, MORE, PASSAGE, STEP = 4096, 48, 16, 32, 8
 #: Share of the passages from which a term counts as common and says next to nothing.
 COMMON = 0.02
 #: Cosine in the latent space, then share of an item's TF-IDF weight on terms that the passage holds, from which it is a candidate.
-COSINE, WEIGHT = 0.5, 0.45
+COSINE, WEIGHT = 0.45, 0.45
 #: Share of an item's words, in order, that make a leak if its answer is there too, and by itself; share of the answer.
 PART, WHOLE, ANSWER = 0.6, 0.8, 0.5
 ANSWER_WORDS = 8
@@ -102,7 +102,7 @@ def latent(holding: np.ndarray, passages: int, product: np.ndarray) -> tuple[np.
     if not good.any():
         return np.zeros((TERMS, RANK), np.float32), idf
     u, strength, _ = np.linalg.svd(sketch @ (vectors[:, good] / np.sqrt(values[good])), full_matrices=False)
-    u, strength = u[:, :RANK], np.sqrt(strength[:RANK])
+    u, strength = u[:, :RANK], strength[:RANK]
     out = np.zeros((TERMS, RANK), np.float32)
     out[:, : len(strength)] = idf[:, None] * u / np.maximum(strength, strength[0] * 1e-6)
     return out, idf

@@ -1,0 +1,416 @@
+"""Each operator against a plain version of what it computes."""
+
+import re
+import zlib
+from collections import defaultdict
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pandas as pd
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from skein.llm import chat, common, components, language, leaks, line_runs, near_dups, neighbours, packing, pii, pseudo_likelihood, queries
+
+SMALL = "/root/testdata/sf0.001"
+plain = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+def rows(df):
+    df = df.toPandas() if hasattr(df, "toPandas") else df
+    df = df[sorted(df.columns)].astype(object).where(lambda x: x.notna(), None)
+    return sorted(map(tuple, df.to_numpy().tolist()), key=repr)
+
+
+@pytest.mark.parametrize("name", queries.ORACLE)
+def test_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
+    assert rows(queries.QUERIES[name](spark, SMALL)) == rows(con.execute(queries.ORACLE[name]).df())
+
+
+# --- personal data
+
+
+def base_spans(text):
+    out = []
+    for kind in pii.KINDS[:4]:
+        for m in re.finditer(kind.plain, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind.name == "ip" and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind.name == "card":
+                total = sum(int(d) if k % 2 == 0 else sum(divmod(2 * int(d), 10)) for k, d in enumerate(reversed(digits)))
+                if not 13 <= len(digits) <= 19 or total % 10:
+                    continue
+            if kind.name == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            out.append((kind.name, m.start(), m.end()))
+    return out
+
+
+def test_pii_known(spark):
+    texts = ["é😀 a.b@c.de, x@y.z_q@r.s 1.2.3.4.5.6.7.8 256.1.1.1 card 4111 1111 1111 1111 +34 (600) 000-000", "GB82 WEST 1234 5698 7654 32 and GB83 WEST 1234 5698 7654 32; 123-45-6789 ssn 123-45-6789", "0" * 3000 + "1 2" * 2000 + "a" * 5000 + "@b.c"]
+    found = pii.find_pii(frame(spark, texts)).orderBy("doc_id").collect()
+    for r, text in zip(found, texts, strict=True):
+        assert [(s["kind"], s["start"], s["end"]) for s in r["findings"] if s["kind"] in ("email", "ip", "card", "phone")] == base_spans(text)
+    assert [(s["kind"], s["start"]) for s in found[1]["findings"]] == [("iban", 0), ("ssn", 61), ("ssn", 77)]
+    assert "<EMAIL>" in pii.redact(pii.find_pii(frame(spark, texts))).orderBy("doc_id").first()["text"]
+
+
+@plain
+@given(st.lists(st.text(alphabet="a1@.+- ()é29_😀", max_size=60), min_size=1, max_size=20))
+def test_pii_random(spark, texts):
+    for r in pii.find_pii(frame(spark, texts)).collect():
+        assert [(s["kind"], s["start"], s["end"]) for s in r["findings"] if s["kind"] in ("email", "ip", "card", "phone")] == base_spans(texts[r["doc_id"]])
+
+
+# --- near duplicates
+
+
+def plain_components(texts, size, percent=80):
+    sets = [near_dups.shingle_set(t.encode().lower().split(), size) for t in texts]
+    up = list(range(len(texts)))
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
+                x, y = sorted((top(a), top(b)))
+                up[y] = x
+    return [top(k) for k in range(len(texts))], [len(s) for s in sets]
+
+
+def varied(seed, groups=12, copies=8):
+    r = np.random.default_rng(seed)
+    out = []
+    for _ in range(groups):
+        base = [f"w{x}" for x in r.integers(0, 400, int(r.integers(1, 90)))]
+        for _ in range(copies):
+            own = list(base)
+            for _ in range(int(r.integers(0, 12))):
+                own[int(r.integers(len(own)))] = f"v{r.integers(1000)}"
+            out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_near_duplicates(spark, size):
+    texts = varied(size)
+    expected, sizes = plain_components(texts, size)
+    out = near_dups.near_duplicates(frame(spark, texts), size=size).orderBy("doc_id").collect()
+    assert [r["component_id"] for r in out] == expected and [r["n_shingles"] for r in out] == sizes
+    assert [r["kept"] for r in out] == [k == e for k, e in enumerate(expected)]
+
+
+def test_near_duplicates_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "BLOCK_ROWS", 3)
+    texts = varied(9, groups=4, copies=30)
+    assert [r["component_id"] for r in near_dups.near_duplicates(frame(spark, texts), size=2).orderBy("doc_id").collect()] == plain_components(texts, 2)[0]
+
+
+def test_posterior_limits():
+    from math import lgamma
+
+    for n, least in near_dups.least_matches(0.8, 1e-6):
+        x = np.linspace(1e-9, 1 - 1e-9, 200_001)
+        for m, fine in ((least, True), (least - 1, False)):
+            density = np.exp(lgamma(n + 2) - lgamma(m + 1) - lgamma(n - m + 1) + m * np.log(x) + (n - m) * np.log1p(-x))
+            assert (np.trapezoid(np.where(x >= 0.8, density, 0), x) >= 1e-6) == fine
+
+
+def test_components(spark):
+    r = np.random.default_rng(3)
+    links = [(int(a), int(b)) for a, b in r.integers(0, 300, (200, 2))] + [(k, k + 1) for k in range(1000, 1100)] + [(5000, 5000 + k) for k in range(1, 200)]
+    up = {}
+    for a, b in links:
+        up.setdefault(a, a), up.setdefault(b, b)
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(up[a], up[b])
+            changed |= up[a] != low or up[b] != low
+            up[a] = up[b] = low
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    got = {x["node"]: x["component"] for x in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {k: v for k, v in up.items() if k in linked}
+
+
+# --- line runs
+
+
+@plain
+@given(st.lists(st.lists(st.sampled_from("abcdef"), max_size=14), min_size=1, max_size=10), st.integers(1, 4))
+def test_line_runs(spark, docs, least):
+    texts = ["\n".join(d) for d in docs]
+    gone, seen = set(), set()
+    for d, lines in enumerate(docs):
+        for k in range(len(lines) - least + 1):
+            run = tuple(lines[k : k + least])
+            if run in seen:
+                gone |= {(d, k + j) for j in range(least)}
+            seen.add(run)
+    out = line_runs.dedup_line_runs(frame(spark, texts), least).orderBy("doc_id").collect()
+    assert [r["text"] for r in out] == ["\n".join(x for k, x in enumerate(lines) if (d, k) not in gone) for d, lines in enumerate(docs)]
+
+
+# --- languages and likelihood
+
+
+def test_language_held_out(spark):
+    docs = pd.read_parquet("/root/testdata/sf0.01/documents.parquet").set_index("doc_id")
+    out = language.op9_language(spark, "/root/testdata/sf0.01").toPandas().set_index("doc_id")
+    assert all(h == (zlib.crc32(str(i).encode()) % 5 == 0) for i, h in out["held_out"].items())
+    held = out[out["held_out"]]
+    assert (held["lang_pred"] == docs["lang"].reindex(held.index)).mean() > 0.97
+    assert out["score"].between(0, 1).all()
+
+
+def test_ngrams():
+    codes, counts = language.ngrams("Ab a")
+    grams = {"a": 2, "b": 1, "_a": 2, "ab": 1, "b_": 1, "a_": 1, "_ab": 1, "ab_": 1, "_a_": 1}
+    code = lambda g: sum((1 if c == "_" else ord(c)) << 21 * k for k, c in enumerate(reversed(g)))
+    assert dict(zip(codes.tolist(), counts.tolist(), strict=True)) == {code(g): n for g, n in grams.items()}
+    assert not len(language.ngrams("12 ?")[0])
+
+
+def test_windows_and_scores(spark):
+    texts = ["a b c a b c a b c", "a b c a b c", "c c c", ""]
+    out = pseudo_likelihood.score_documents(frame(spark, texts), frequent=3, shared=1).orderBy("doc_id").toPandas()
+    assert out["n_tokens"].tolist() == [9, 6, 3, 0] and out["log_likelihood"][3] == 0 and np.isnan(out["mean_log_likelihood"][3])
+    assert out["mean_log_likelihood"][:3].min() > -0.01  # either side gives the word away
+    ids, at = np.array([0, 1, 2, 1]), np.array([0, 3, 3, 4])
+    assert pseudo_likelihood.windows(ids, at, 3).tolist() == [(l * 4 + r) * 3 + t for l, r, t in ((3, 1, 0), (0, 2, 1), (1, 3, 2), (3, 3, 1))]
+
+
+def test_training_lowers_loss():
+    counts = np.random.default_rng(0).integers(0, 30, (5, 5, 4)).astype(float)
+    losses = [-(counts * pseudo_likelihood.train(counts, 8, steps)).sum() for steps in (1, 20, 200)]
+    assert losses[0] > losses[1] > losses[2]
+    assert np.allclose(np.exp(pseudo_likelihood.train(counts, 8, 5)).sum(axis=2), 1, atol=1e-4)
+
+
+def test_word_hashes():
+    import pyarrow as pa
+
+    texts = ["The the  THE\tcat", None, "", " x", "é É", "cat"]
+    hashes, at = common.words(pa.array(texts))
+    found = [hashes[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
+    assert [len(f) for f in found] == [4, 0, 0, 1, 2, 1]
+    assert found[0][0] == found[0][1] == found[0][2] and found[0][3] == found[5][0] and found[4][0] != found[4][1]
+    many = [f"w{k}" * (k % 9 + 1) for k in range(70_000)]
+    hashes, _ = common.words(pa.array([" ".join(many)]))
+    assert len(set(hashes.tolist())) == len(set(many))
+
+
+# --- neighbours
+
+
+def test_recall(spark):
+    out = neighbours.op5_neighbours(spark, "/root/testdata/sf0.01").toPandas()
+    e = pd.read_parquet("/root/testdata/sf0.01/embeddings.parquet")
+    x, ids = np.stack(e["embedding"]).astype(float), e["vec_id"].to_numpy()
+    hit = total = 0
+    for q, own in out.groupby("query_id"):
+        scores = (x * x[ids == q][0]).sum(axis=1)
+        best = [int(ids[k]) for k in np.lexsort((ids, -scores)) if ids[k] != q][:20]
+        hit, total = hit + len(set(best) & set(own["vec_id"])), total + 20
+        assert np.allclose(own["score"], [scores[ids == v][0] for v in own["vec_id"]], rtol=0, atol=1e-12)
+    assert hit / total >= 0.9 and out["query_id"].nunique() == (ids % 20 == 0).sum()
+
+
+def test_search_of_clusters_and_copies():
+    r = np.random.default_rng(5)
+    centres = r.normal(size=(40, 16))
+    x = centres[r.integers(0, 40, 4000)] + 0.05 * r.normal(size=(4000, 16))
+    x[1000:2000] = x[0]
+    ids = r.permutation(4000)
+    longest = np.sqrt((x**2).sum(axis=1).max())
+    q = x[:40]
+    got = defaultdict(list)
+    for a, b, s in neighbours.search(q, ids[:40], x, ids, longest):
+        got[a].append((int(ids[b]), s))
+    hit = 0
+    for k in range(40):
+        scores = (x * q[k]).sum(axis=1)
+        best = [int(ids[j]) for j in np.lexsort((ids, -scores)) if ids[j] != ids[k]][:20]
+        hit += len(set(best) & {g[0] for g in got[k]})
+    assert hit >= 0.95 * 800
+    assert [g[0] for g in got[0]] == sorted(int(i) for i in [*ids[1000:2000]])[:20] or x[0] @ x[0] < (x @ x[0]).max()
+
+
+# --- packing
+
+
+def test_packing_round_trip(spark):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(packing.vocabulary())
+    docs = pd.read_parquet(f"{SMALL}/documents.parquet")
+    out = packing.op7_packing(spark, SMALL).toPandas()
+    assert (out.groupby("sequence_id")["length"].sum() <= 2048).all() and (out.groupby("sequence_id")["length"].sum() < 2048).sum() <= 1
+    by = dict(list(out.sort_values("start").groupby("doc_id")))
+    for i, text in zip(docs["doc_id"], docs["text"], strict=True):
+        ids = np.array([*own.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        at = 0
+        for p in by[i].itertuples():
+            assert p.start == at and p.doc_tokens == len(ids) and zlib.crc32(ids[at : at + p.length].tobytes()) == p.ids_crc32
+            at += p.length
+        assert at == len(ids)
+    for _, s in out.sort_values("offset").groupby("sequence_id"):
+        assert s["offset"].tolist() == [0, *s["length"].cumsum().tolist()[:-1]]
+
+
+def test_best_neighbour_fills_first():
+    tails = [np.array(t) for t in ([1, 2, 3], [9, 9, 9], [1, 2, 4], [8, 8, 8])]
+    assert [p[:2] for p in packing.fill(tails, np.ones(10), 3, window=5)[0]] == [(0, 0), (2, 0)]
+
+
+# --- decontamination
+
+
+def plain_subsequence(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for k, y in enumerate(b):
+            last, row[k + 1] = row[k + 1], max(row[k + 1], row[k], last + 1 if x == y else 0)
+    return row[-1]
+
+
+@given(st.lists(st.integers(0, 4), max_size=20), st.lists(st.integers(0, 4), max_size=20))
+def test_common_subsequence(a, b):
+    assert leaks.common_subsequence(a, b) == plain_subsequence(a, b)
+
+
+def test_leaks(spark):
+    r = np.random.default_rng(2)
+    word = lambda: f"{r.choice(list('bcdfg'))}{r.integers(3000)}"
+    text = lambda n: [word() for _ in range(n)]
+    items = [text(int(n)) for n in r.integers(14, 60, 30)]
+    docs, leaking = [], set()
+    for k in range(300):
+        own = text(int(r.integers(20, 400)))
+        if k % 5 == 0:
+            item = list(items[k % 30])
+            if k % 10 == 0:
+                for j in r.choice(len(item) - 3, len(item) // 8, replace=False):
+                    item[j] = word()
+            at = int(r.integers(len(own)))
+            own[at:at] = item
+            leaking.add(k)
+        docs.append(" ".join(own))
+    out = leaks.find_leaks(frame(spark, docs), spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string")).collect()
+    assert {x["doc_id"] for x in out if x["contaminated"]} == leaking
+    assert all(x["item_id"] == x["doc_id"] % 30 for x in out if x["contaminated"])
+
+
+def test_leaks_on_given_data(spark):
+    docs, bench = pd.read_parquet("/root/testdata/sf0.01/documents.parquet"), pd.read_parquet("/root/testdata/sf0.01/benchmark.parquet")
+    exact = {i for i, t in zip(docs["doc_id"], docs["text"], strict=True) if any(b in t for b in bench["text"])}
+    found = {r["doc_id"] for r in leaks.op8_leaks(spark, "/root/testdata/sf0.01").where("contaminated").collect()}
+    assert exact <= found and len(found - exact) <= 2
+
+
+def test_latent_is_the_svd():
+    r = np.random.default_rng(4)
+    counts = np.zeros((300, leaks.TERMS))
+    topics = r.integers(0, leaks.TERMS, (6, 40))
+    for k in range(300):
+        np.add.at(counts[k], r.choice(topics[k % 6], 32), 1)
+    holding = (counts > 0).sum(axis=0)
+    space, idf = leaks.latent(holding, 300, counts.T @ (counts @ leaks.directions().astype(float)))
+    a = counts * idf
+    u, s, vt = np.linalg.svd(a, full_matrices=False)
+    left = counts @ space.astype(float)
+    for k in range(4):
+        assert abs(left[:, k] @ u[:, k]) / np.linalg.norm(left[:, k]) > 0.9
+
+
+# --- chats
+
+
+def test_viterbi_in_pieces(spark):
+    turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    model = chat.learn(turns)
+    whole = rows(chat.format_chats(turns, model))
+    assert whole == rows(chat.format_chats(turns, model, piece=2)) == rows(chat.format_chats(turns.withColumn("conv_id", F.col("conv_id")).repartition(7), model, piece=3))
+    own = chat.segments(turns.withColumn("tie", F.xxhash64("text")), "tie").toPandas().sort_values(["conv_id", "turn", "tie", "segment"])
+    expected = []
+    for _, c in own.groupby("conv_id"):
+        said = c.to_dict("list")
+        said["said"] = [None if pd.isna(x) else x for x in said["said"]]
+        expected += zip(c["conv_id"], c["turn"], c["segment"], [chat.STATES[s] for s in model.decode(None, model.emissions(said), None)], strict=True)
+    assert sorted(expected) == sorted((r["conv_id"], r["turn"], r["segment"], r["role"]) for r in chat.format_chats(turns, model).collect())
+
+
+def test_decode_is_the_best_path():
+    from itertools import product
+
+    r = np.random.default_rng(6)
+    model = chat.Model(r.random(4), r.random((4, 4)), {})
+    seen = np.log(r.random((5, 4)))
+    paths = {p: model.start[p[0]] + seen[0, p[0]] + sum(model.moves[a, b] + seen[k + 1, b] for k, (a, b) in enumerate(zip(p, p[1:], strict=False))) for p in product(range(4), repeat=5)}
+    assert tuple(model.decode(None, seen, None)) == max(paths, key=paths.get)
+
+
+def test_chat_roles(spark):
+    turns = spark.read.parquet("/root/testdata/sf0.1/conversations.parquet")
+    out = chat.op2_chat(spark, "/root/testdata/sf0.1").join(turns.select("conv_id", "turn", F.col("role").alias("true")), ["conv_id", "turn"]).where(chat.held_out())
+    good, n = out.agg(F.avg((F.col("role") == F.col("true")).cast("int")), F.count("*")).first()
+    assert n > 500 and good > 0.95
+
+
+# --- pipeline
+
+
+def test_pipeline(spark, tmp_path):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    texts = lambda df: {r["doc_id"]: r["text"] for r in df.collect()}
+    stages = dict(corpus_pipeline.STAGES)
+    before, after = texts(docs), {}
+    language_kept = texts(stages["language"](spark, docs, SMALL))
+    assert language_kept == {i: t for i, t in before.items() if any(c.isalpha() for c in t)}
+    seen, expected = set(), {}
+    for i in sorted(before):
+        lines = [(k, x.rstrip(" ")) for k, x in enumerate(before[i].split("\n")) if x.strip(" ")]
+        gone = set()
+        for (a, x), (b, y) in zip(lines, lines[1:], strict=False):
+            if (x, y) in seen:
+                gone |= {a, b}
+            seen.add((x, y))
+        if not gone or len(gone) < len(lines):
+            expected[i] = "\n".join(x for k, x in enumerate(before[i].split("\n")) if k not in gone)
+    after = texts(stages["line_dedup"](spark, docs, SMALL))
+    assert after == expected
+    ids = sorted(before)
+    group = plain_components([before[i] for i in ids], 5)[0]
+    assert texts(stages["near_dedup"](spark, docs, SMALL)) == {i: before[i] for k, i in enumerate(ids) if group[k] == k}
+    bench = pd.read_parquet(f"{SMALL}/benchmark.parquet")["text"]
+    kept = texts(stages["decontamination"](spark, docs, SMALL))
+    assert {i for i in before if not any(b in before[i] for b in bench)} - set(kept) == set() and all(not any(b in t for b in bench) for t in kept.values())
+    out = corpus_pipeline.run(spark, SMALL).toPandas()
+    assert set(out["doc_id"]) <= set(before) and (out.groupby("doc_id")["length"].sum() == out.groupby("doc_id")["doc_tokens"].max()).all()
+
+
+def test_registered():
+    import __spark_entry__
+
+    for n in range(1, 11):
+        assert [q for q in __spark_entry__.queries() if q.startswith(f"op{n}_")]
+    assert "pipeline" in __spark_entry__.queries() and Path(corpus_pipeline.__file__).name == "corpus_pipeline.py"
