@@ -94,11 +94,11 @@ def _prune(limits: list[tuple[int, int]]):
     return run
 
 
-def _word_lists(texts: pa.Array) -> list[list[bytes]]:
+def _word_lists(texts: pa.Array) -> Iterator[list[bytes]]:
     data, at = buffers(texts)
-    raw = data.tobytes()
-    # bytes.split() parts at \x09-\x0D and \x20, bytes.lower() lowers A-Z alone
-    return [raw[a:b].lower().split() for a, b in zip(at[:-1], at[1:], strict=True)]
+    for a, b in zip(at[:-1], at[1:], strict=True):
+        # bytes.split() parts at \x09-\x0D and \x20, bytes.lower() lowers A-Z alone
+        yield data[a:b].tobytes().lower().split()
 
 
 def shingle_set(found: list[bytes], size: int) -> set[tuple[bytes, ...]]:
