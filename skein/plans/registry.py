@@ -8,3 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+
+
+def load() -> None:
+    """Fill the registry; the modules that hold the queries register them as they are imported."""
+    from . import queries  # noqa: F401
