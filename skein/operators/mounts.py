@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import base_name, parent_path
+from .storage import settled
 
 EVENT = ("session_id", "thread_id", "turn_id", "call_id")
 
@@ -105,13 +106,15 @@ def attach_relays(edges: DataFrame, messages: DataFrame) -> tuple[DataFrame, Dat
 
 
 def _jumped(edges: DataFrame, rounds: int) -> DataFrame:
-    """``(node, top)`` after ``2 ** rounds`` steps along ``edges(node, up)``; a node without edge is its own top."""
-    own = edges.select("node", "up")
+    """``(node, top)`` after ``2 ** rounds`` steps along ``edges(node, up)``, or as many as reach a root from everywhere."""
+    own = settled(edges.select("node", "up"))
     for _ in range(rounds):
         over = own.select(F.col("node").alias("up"), F.col("up").alias("further"))
-        own = own.join(over, "up", "left").select("node", F.coalesce("further", "up").alias("up"))
-        own = own.checkpoint() if own.sparkSession.sparkContext.getCheckpointDir() else own
-    return own.withColumnRenamed("up", "top")
+        own = settled(own.join(over, "up", "left").select("node", F.coalesce("further", "up").alias("up"), F.col("further").isNotNull().alias("moved")))
+        if own.where("moved").isEmpty():
+            break
+        own = own.drop("moved")
+    return own.select("node", F.col("up").alias("top"))
 
 
 def cycles(edges: DataFrame, rounds: int | None = None) -> DataFrame:
@@ -119,6 +122,7 @@ def cycles(edges: DataFrame, rounds: int | None = None) -> DataFrame:
 
     After as many steps as there are nodes, by pointer jumping, every node has come to a root or onto its cycle, and
     exactly the nodes of cycles are come to by such steps without being roots."""
+    edges = settled(edges)
     rounds = rounds if rounds is not None else max(1, (edges.count() + 1).bit_length())
     tops = _jumped(edges, rounds).select(F.col("top").alias("node")).distinct()
     return tops.join(edges.select("node"), "node", "left_semi")
@@ -126,6 +130,7 @@ def cycles(edges: DataFrame, rounds: int | None = None) -> DataFrame:
 
 def reachable(edges: DataFrame, roots: DataFrame, rounds: int | None = None) -> DataFrame:
     """``(node, root)`` of all nodes below ``roots(node)`` along ``edges(node, up)``, the roots themselves with it."""
+    edges = settled(edges)
     rounds = rounds if rounds is not None else max(1, (edges.count() + 1).bit_length())
     tops = _jumped(edges, rounds)
     main = roots.select(F.col("node").alias("top")).distinct()
@@ -145,15 +150,20 @@ def plan(events: DataFrame, contains: DataFrame, children: DataFrame) -> dict[st
     """All steps in order: events bound, children routed, double claims and cycles removed, what no main root reaches dropped.
 
     ``edges`` are the mounts left, ``diagnostics(subject, code)`` why others failed; ``unmounted`` the events without child."""
+    events, children = settled(events), settled(children)
     bound, parents = bind_parents(events, contains)
+    bound = settled(bound)
     routed, lost = route_children(children, bound)
-    single, claimed = single_claims(routed)
+    single, claimed = single_claims(settled(routed))
     up = single.select(F.col("child_id").alias("node"), F.col("parent_leaf").alias("up"))
     ring = cycles(up)
+    ring = settled(ring)
     open_ = single.join(ring.select(F.col("node").alias("child_id")), "child_id", "left_anti")
+    open_ = settled(open_)
     kids = children.select(F.col("child_id").alias("node"))
     roots = open_.select(F.col("parent_leaf").alias("node")).distinct().join(kids, "node", "left_anti")
     below = reachable(open_.select(F.col("child_id").alias("node"), F.col("parent_leaf").alias("up")), roots)
+    below = settled(below)
     kept = open_.join(below.select(F.col("node").alias("child_id")), "child_id", "left_semi")
     adrift = open_.join(below.select(F.col("node").alias("child_id")), "child_id", "left_anti")
     named = lambda df, key, code: df.select(F.col(key).alias("subject"), F.lit(code).alias("code"))
