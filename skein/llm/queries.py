@@ -22,4 +22,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_unit_dedup": units.op10_unit_dedup,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE: dict[str, str] = pii.ORACLE | line_runs.ORACLE | units.ORACLE
+ORACLE: dict[str, str] = pii.ORACLE | near_dups.ORACLE | line_runs.ORACLE | units.ORACLE
