@@ -105,7 +105,7 @@ def line_number(ref: Column) -> Column:
 def trajectory_file(session: Column, number: Column, identifier: Column) -> Column:
     """The file of a trajectory: of its session and number, or of its hash where it has no session."""
     real = real_session(session)
-    return F.when((real != "") & is_safe_session(real), F.concat_ws("_sub_", real, number.cast("string"))).otherwise(F.concat(F.lit("no_session_id_"), F.substring(identifier, 1, 16), F.lit("_sub_0")))
+    return F.when((real != "") & is_safe_session(real), F.concat_ws("_sub_", real, number.cast("string"))).otherwise(F.concat(F.lit("no_session_id_"), identifier, F.lit("_sub_0")))
 
 
 def error_summary(status: Column, kind: Column, code: Column) -> Column:

@@ -68,10 +68,13 @@ def reason_counts(rows: DataFrame) -> DataFrame:
 
 
 def feedback(stats: DataFrame, total_bytes: Column, failures: Column, started_ms: Column, completed_ms: Column) -> DataFrame:
-    """The feedback counters of a manifest from :func:`export_stats`."""
+    """The feedback fields of a manifest from :func:`export_stats`: published roots, not origins or nested agents; failures
+    count inputs that could not be parsed; a clock that ran back ends where it started."""
     total = F.col("accepted") + F.col("quarantined")
-    status = F.when(failures > 0, "partial").otherwise("success")
-    return stats.select(status.alias("status"), total.alias("record_count"), failures.cast("long").alias("parse_failure_count"), total_bytes.cast("long").alias("total_bytes"), started_ms.alias("started_at_ms"), completed_ms.alias("completed_at_ms"), F.greatest(completed_ms - started_ms, F.lit(0)).alias("elapsed_ms"))
+    return stats.select(
+        F.lit("SUCCEEDED").alias("status"), total.alias("record_count"), F.col("accepted").alias("accepted_trajectory_count"), F.col("quarantined").alias("quarantined_trajectory_count"),
+        failures.cast("long").alias("parse_failure_count"), total_bytes.cast("long").alias("total_bytes"), started_ms.alias("started_at_ms"), F.greatest(started_ms, completed_ms).alias("completed_at_ms"),
+    )
 
 
 def lineage_mismatch(trajectories: DataFrame, lineage: DataFrame) -> DataFrame:

@@ -7,10 +7,28 @@ from pyspark.sql import functions as F
 
 # Errors in spite of which a capture's transcript can be used.
 MATERIALIZABLE = (
-    "ambiguous_tool_execution ambiguous_server_tool_result conflicting_sse_sequence conflicting_event_sequence duplicate_server_tool_call_id duplicate_server_tool_result "
-    "duplicate_tool_call_id duplicate_tool_result event_sequence_gap invalid_tool_definition invalid_tool_parameters metadata_conflict missing_server_tool_id "
-    "missing_tool_arguments missing_tool_call_id missing_tool_definition_name orphan_server_tool_result orphan_tool_result sse_sequence_gap tool_execution_mismatch tool_result_type_mismatch"
-).split()
+    "ambiguous_server_tool_result",
+    "duplicate_server_tool_call_id",
+    "duplicate_server_tool_result",
+    "duplicate_tool_call_id",
+    "duplicate_tool_result",
+    "invalid_agent_message_author",
+    "invalid_agent_message_id",
+    "invalid_agent_message_recipient",
+    "invalid_server_tool_call",
+    "invalid_server_tool_result",
+    "invalid_tool_call",
+    "invalid_tool_result",
+    "missing_server_tool_id",
+    "missing_tool_arguments",
+    "missing_tool_call_id",
+    "missing_tool_name",
+    "missing_tool_result_id",
+    "missing_tool_result_name",
+    "orphan_server_tool_result",
+    "orphan_tool_result",
+    "tool_result_type_mismatch",
+)
 COMPLETE = ("complete_main_no_sub", "complete_main_with_complete_sub")
 
 

@@ -51,7 +51,7 @@ TOKENS = f"""SELECT b.capture_id, b.conv_id, t.turn AS pos, CASE WHEN t.turn = b
 #: Flags of captures.
 FLAGS = """SELECT event_id, user_id, CASE WHEN event_type = 'view' THEN 'count_tokens' ELSE 'responses' END AS operation, event_id % 13 <> 0 AS wire_complete,
   CASE WHEN event_type = 'error' THEN 'capture_invalid' WHEN event_type = 'signup' THEN 'api_error' ELSE 'success' END AS outcome,
-  CASE WHEN event_type <> 'error' THEN '' WHEN event_id % 3 = 0 THEN 'orphan_tool_result' WHEN event_id % 3 = 1 THEN 'orphan_tool_result,metadata_conflict' ELSE 'metadata_conflict,invalid_messages' END AS codes FROM {events}"""
+  CASE WHEN event_type <> 'error' THEN '' WHEN event_id % 3 = 0 THEN 'orphan_tool_result' WHEN event_id % 3 = 1 THEN 'orphan_tool_result,duplicate_tool_result' ELSE 'duplicate_tool_result,invalid_messages' END AS codes FROM {events}"""
 #: Spawn events, the leaves that hold them, and linked children, from orders and their lines.
 SPAWNS = f"""SELECT DISTINCT 's' || CAST(node_id % 50 AS STRING) AS session_id, 't' || CAST(node_id % 3 AS STRING) AS thread_id, 'r' || CAST(node_id AS STRING) AS turn_id, 'k' || CAST(node_id AS STRING) || '-' || CAST(line AS STRING) AS call_id,
   'a' || CAST(part % 2 AS STRING) AS arguments, 'task' || CAST(line % 3 AS STRING) AS task_name, CASE WHEN line % 4 = 0 THEN '' ELSE '/root/task' || CAST(line % 3 AS STRING) END AS agent_name FROM ({LINES}) AS lines WHERE line <= 4"""

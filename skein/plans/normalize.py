@@ -65,7 +65,7 @@ def normalize_snapshots(parsed: DataFrame) -> Normalized:
     kept = good.where(counted)
     refused = good.where(~F.coalesce(counted, F.lit(False)))
     refusal = F.when(F.col("operation") == "count_tokens", "non_trajectory_operation").otherwise(F.concat(F.lit("snapshot_"), "outcome"))
-    quarantine = parsed.where("reason IS NOT NULL").select("source_ref", "sha256", "reason", F.lit("quarantined").alias("disposition")).unionByName(refused.select("source_ref", "sha256", refusal.alias("reason"), F.when(F.col("operation") == "count_tokens", "excluded").otherwise("quarantined").alias("disposition")))
+    quarantine = parsed.where("reason IS NOT NULL").select("source_ref", "sha256", "reason", F.lit("skipped").alias("disposition")).unionByName(refused.select("source_ref", "sha256", refusal.alias("reason"), F.when(F.col("operation") == "count_tokens", "excluded").otherwise("quarantined").alias("disposition")))
 
     ready = settled(foldable(kept))
     slim = ready.select("capture_id", "scope", "tokens", F.col("n_history").alias("history"), "signature", *[c for c in ORDER if c != "source_path"], F.col("source_path"))
@@ -90,6 +90,8 @@ def normalize_snapshots(parsed: DataFrame) -> Normalized:
     definitions = merged_tools.select(F.col("leaf_id").alias("node_id"), "name", "description", "parameters")
     checked = tools.check_calls(calls, definitions)
     counters = tools.call_counters(checked)
+    why = F.array_compact(F.array(F.when(F.col("undefined"), "undefined_tool"), F.when(F.size("extra") > 0, "extra_args"), F.when(F.size("missing") > 0, "missing_required"), F.when(F.size("mistyped") > 0, "type_mismatch")))
+    details = tools.first_details(checked).groupBy("node_id").agg(F.array_sort(F.collect_list(F.struct(F.col("pos").alias("message_index"), F.col("call_id").alias("tool_call_id"), F.col("name").alias("tool"), why.alias("reasons"), "extra", "missing"))).alias("mismatches"))
     defects = settled(tools.pairing_issues(calls, results))
     paired = defects.groupBy("node_id").agg(F.array_sort(F.collect_set("code")).alias("pairing"))
     counts = tools.tool_counts(calls)
@@ -119,7 +121,7 @@ def normalize_snapshots(parsed: DataFrame) -> Normalized:
     node = leaves.withColumnRenamed("leaf_id", "node_id").drop("tools", "media", "server_tool_calls")
     for part in (tool_list, media, server, changed):
         node = node.join(settled(part.withColumnRenamed("leaf_id", "node_id")), "node_id", "left")
-    for part in (counters, paired, counts, spoken, called, defined, late, failed, spawned, subs):
+    for part in (counters, details, paired, counts, spoken, called, defined, late, failed, spawned, subs):
         node = node.join(settled(part), "node_id", "left")
     node = node.join(edges.select(F.col("child_id").alias("node_id"), F.col("parent_leaf").alias("parent_id"), F.col("call_id").alias("spawn_call_id")), "node_id", "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
@@ -157,8 +159,15 @@ def normalize_snapshots(parsed: DataFrame) -> Normalized:
     unique = settled(node.join(best, ["trajectory_id", "node_id"]))
     numbered = accounting.sub_session_numbers(unique.select("trajectory_id", "session_id", (names.real_session(F.col("session_id")) == "").alias("synthesized"), F.col("captured_at").alias("created_at"), F.col("source_path").alias("source_file")))
     unique = unique.join(numbered.select("trajectory_id", "sub_session_id"), "trajectory_id")
-    origins = node.select("trajectory_id", F.col("node_id").alias("leaf_id")).join(members, "leaf_id").join(kept.select(F.col("source_path").alias("capture_id"), F.col("source_sha256").alias("sha"), "captured_at"), "capture_id")
-    lineage = origins.groupBy("trajectory_id").agg(F.array_sort(F.collect_set(F.struct("captured_at", F.col("capture_id").alias("source_ref"), "sha"))).alias("origins")).join(unique.select("trajectory_id", F.col("source_path").alias("representative")), "trajectory_id").withColumn("origin_count", F.size("origins"))
+    # a mount on a copy that another trajectory stands for has no place to go: its child is a root of its own
+    present = unique.select(F.col("node_id").alias("_parent"))
+    unique = settled(unique.join(present, F.col("parent_id") == F.col("_parent"), "left").withColumn("parent_id", F.col("_parent")).drop("_parent"))
+    tree = mounts.reachable(unique.where("parent_id IS NOT NULL").select(F.col("node_id").alias("node"), F.col("parent_id").alias("up")), unique.where("parent_id IS NULL").select(F.col("node_id").alias("node")))
+    root_ids = tree.join(unique.select(F.col("node_id").alias("root"), F.col("trajectory_id").alias("root_id")), "root").join(unique.select(F.col("node_id").alias("node"), "trajectory_id"), "node").select("trajectory_id", "root_id", "root")
+    origins = node.select("trajectory_id", F.col("node_id").alias("leaf_id"), "disposition", "reason_codes").join(members, "leaf_id").join(kept.select(F.col("source_path").alias("capture_id"), F.col("source_sha256").alias("sha"), "captured_at"), "capture_id")
+    own = F.struct("captured_at", F.col("capture_id").alias("source_ref"), F.col("sha").alias("sha256"), "disposition", "reason_codes")
+    first = origins.join(root_ids, "trajectory_id").groupBy(F.col("root_id").alias("trajectory_id"), F.col("root").alias("representative"), "capture_id").agg(F.min(own).alias("o"))
+    lineage = first.groupBy("trajectory_id", "representative").agg(F.array_sort(F.collect_list("o")).alias("origins")).withColumn("origin_count", F.size("origins"))
     drop = ("tokens", "history", "response", "signature", "scope", "n_history", "wire_complete", "operation", "outcome", "provider")
     return Normalized(settled(unique.drop(*drop)), messages, settled(lineage), edges, settled(quarantine), kept)
 

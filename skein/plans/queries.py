@@ -274,7 +274,7 @@ def session_window_8h(spark, sf_dir):
 # --- eligibility, quality and accounting
 
 
-@query(f"SELECT event_id FROM ({inputs.FLAGS}) WHERE operation <> 'count_tokens' AND wire_complete AND (outcome = 'success' OR codes IN ('orphan_tool_result', 'orphan_tool_result,metadata_conflict'))")
+@query(f"SELECT event_id FROM ({inputs.FLAGS}) WHERE operation <> 'count_tokens' AND wire_complete AND (outcome = 'success' OR codes IN ('orphan_tool_result', 'orphan_tool_result,duplicate_tool_result'))")
 def eligibility_filter(spark, sf_dir):
     codes = F.filter(F.split("codes", ","), lambda c: c != "")
     return derive(spark, sf_dir, inputs.FLAGS).where(quality.eligible(F.col("operation"), F.col("wire_complete"), F.col("outcome"), codes)).select("event_id")
@@ -364,10 +364,10 @@ def export_stats(spark, sf_dir):
     return accounting.export_stats(merge.representatives(derive(spark, sf_dir, TRAJ)))
 
 
-@query(f"SELECT 'partial' AS status, count(DISTINCT trajectory_id) FILTER (d <> 'excluded') AS record_count, 3::BIGINT AS parse_failure_count, 1000::BIGINT AS total_bytes, 5::BIGINT AS started_at_ms, 25::BIGINT AS completed_at_ms, 20::BIGINT AS elapsed_ms FROM (SELECT trajectory_id, CASE WHEN bool_or(disposition = 'pass') THEN 'pass' WHEN bool_or(disposition = 'quarantined') THEN 'quarantined' ELSE 'excluded' END AS d FROM ({TRAJ}) GROUP BY trajectory_id)")
+@query(f"SELECT 'SUCCEEDED' AS status, count(*) FILTER (d <> 'excluded') AS record_count, count(*) FILTER (d = 'pass') AS accepted_trajectory_count, count(*) FILTER (d = 'quarantined') AS quarantined_trajectory_count, 3::BIGINT AS parse_failure_count, 1000::BIGINT AS total_bytes, 25::BIGINT AS started_at_ms, 25::BIGINT AS completed_at_ms FROM (SELECT trajectory_id, CASE WHEN bool_or(disposition = 'pass') THEN 'pass' WHEN bool_or(disposition = 'quarantined') THEN 'quarantined' ELSE 'excluded' END AS d FROM ({TRAJ}) GROUP BY trajectory_id)")
 def feedback_counters(spark, sf_dir):
     long = lambda v: F.lit(v).cast("long")
-    return accounting.feedback(accounting.export_stats(merge.representatives(derive(spark, sf_dir, TRAJ))), long(1000), long(3), long(5), long(25))
+    return accounting.feedback(accounting.export_stats(merge.representatives(derive(spark, sf_dir, TRAJ))), long(1000), long(3), long(25), long(5))
 
 
 @query("SELECT o_orderkey AS trajectory_id, CASE WHEN o_custkey % 10 = 0 THEN 0 ELSE row_number() OVER (PARTITION BY o_custkey % 10 = 0, o_custkey ORDER BY o_orderdate, o_orderkey, o_orderpriority) - 1 END AS sub_session_id FROM orders")

@@ -6,17 +6,17 @@ import hashlib
 import json
 import time
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import names
 from ..operators import accounting
-from ..operators.storage import settled
 from ..plans.normalize import Normalized
+from ..plans.published import documents, record_errors
 
-SCHEMA_VERSION = 4
+SCHEMA_VERSION = "v4"
 LARGEST = 512 << 20
 
 
@@ -60,48 +60,9 @@ class Store:
             stream.close()
 
 
-def documents(run: Normalized) -> DataFrame:
-    """``(path, body)``: the published JSON of every root, with its mounted sub-agents inside it.
-
-    Nodes are nested level by level from the deepest, so a tree costs as many joins as it is deep."""
-    own = F.to_json(F.struct("pos", "role", "content", "reasoning_content", "tool_calls", "tool_call_id", "name"))
-    turns = run.messages.groupBy("node_id").agg(F.array_sort(F.collect_list(F.struct("pos", own.alias("m")))).alias("m"))
-    said = turns.select("node_id", F.concat(F.lit("["), F.array_join(F.transform("m", lambda x: F.regexp_replace(x["m"], r'^\{"pos":[0-9]+,?', "{")), ","), F.lit("]")).alias("messages_json"))
-    nodes = run.trajectories.join(said, "node_id", "left").withColumn("messages_json", F.coalesce("messages_json", F.lit("[]")))
-    fields = [c for c in run.trajectories.columns if c not in ("node_id", "parent_id", "spawn_call_id", "children")]
-    nodes = nodes.withColumn("plain", F.to_json(F.struct(*fields)))
-    body = lambda kids: F.concat(F.substr(F.col("plain"), F.lit(1), F.length("plain") - 1), F.lit(',"messages":'), F.col("messages_json"), F.coalesce(F.concat(F.lit(',"sub_agent_trajectory":{'), kids, F.lit("}")), F.lit("")), F.lit("}"))
-    left = settled(nodes.select("node_id", "parent_id", "spawn_call_id", "trajectory_id", "session_id", "sub_session_id", "plain", "messages_json"))
-    ready = None
-    depth = _depths(left)
-    for level in range(depth, -1, -1):
-        here = left.join(_level(left, level), "node_id", "left_semi")
-        if ready is not None:
-            inner = ready.where("parent_id IS NOT NULL").groupBy(F.col("parent_id").alias("node_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("spawn_call_id", "body"))), lambda x: F.concat(F.to_json(x["spawn_call_id"].cast("variant")), F.lit(":"), x["body"])), ",").alias("kids"))
-            here = here.join(inner, "node_id", "left")
-        else:
-            here = here.withColumn("kids", F.lit(None).cast("string"))
-        ready = settled(here.withColumn("body", body(F.col("kids"))).select("node_id", "parent_id", "spawn_call_id", "trajectory_id", "session_id", "sub_session_id", "body"))
-    return ready.select("trajectory_id", F.concat(names.trajectory_file(F.col("session_id"), F.col("sub_session_id"), F.col("trajectory_id")), F.lit(".jsonl")).alias("path"), "body")
-
-
-def _level(nodes: DataFrame, level: int) -> DataFrame:
-    found = nodes.join(nodes.select(F.col("node_id").alias("parent_id")), "parent_id", "left_anti").select("node_id")
-    for _ in range(level):
-        found = nodes.join(found.select(F.col("node_id").alias("parent_id")), "parent_id", "left_semi").select("node_id")
-    return found
-
-
-def _depths(nodes: DataFrame) -> int:
-    level = 0
-    while not _level(nodes, level + 1).isEmpty():
-        level += 1
-    return level
-
-
 def publish_rows(run: Normalized, root: str, rows_a_file: int = 100_000) -> None:
     """The same documents as compressed JSON lines, many to a file, with lineage beside them: no name or count goes by the driver."""
-    documents(run).write.option("compression", "gzip").option("maxRecordsPerFile", rows_a_file).mode("overwrite").json(f"{root.rstrip('/')}/trajectories")
+    documents(run.trajectories, run.messages).write.option("compression", "gzip").option("maxRecordsPerFile", rows_a_file).mode("overwrite").json(f"{root.rstrip('/')}/trajectories")
     run.lineage.write.option("maxRecordsPerFile", rows_a_file).mode("overwrite").json(f"{root.rstrip('/')}/lineage")
 
 
@@ -111,7 +72,7 @@ def publish(spark: SparkSession, run: Normalized, root: str, input_root: str, in
     store = Store(spark, root)
     store.delete("_staging")
     before = json.loads(store.read("manifest.json") or '{"files":[]}')
-    docs = documents(run)
+    docs = documents(run.trajectories, run.messages)
     stage = f"{store.root}/_staging"
     twice = docs.groupBy("path").count().where("count > 1").limit(1).collect()
     if twice:
@@ -143,16 +104,24 @@ def publish(spark: SparkSession, run: Normalized, root: str, input_root: str, in
         store.write("_staging/lineage.jsonl", "")
     store.delete("_staging/_lineage")
     files.append({"path": "lineage.jsonl", "sha256": part[0]["sha256"] if part else hashlib.sha256(b"").hexdigest(), "bytes": part[0]["bytes"] if part else 0})
-    stats = accounting.export_stats(run.trajectories).first().asDict()
-    reasons = {r["reason"]: r["n"] for r in accounting.reason_counts(run.trajectories).collect()}
-    skipped = {r["reason"]: r["count"] for r in run.quarantine.groupBy("reason").count().collect()}
+    roots = run.trajectories.where("parent_id IS NULL")
+    reasons = {r["reason"]: r["n"] for r in accounting.reason_counts(roots).collect()}
+    left = {(r["disposition"], r["reason"]): r["count"] for r in run.quarantine.groupBy("disposition", "reason").count().collect()}
+    of = lambda *kinds: sum(n for (kind, _), n in left.items() if kind in kinds)
+    covered = run.lineage.select(F.explode("origins.source_ref").alias("source_ref")).agg(F.count_distinct("source_ref")).first()[0]
+    stats = accounting.export_stats(roots)
+    whole = F.lit(sum(f["bytes"] for f in files if f["path"] != "lineage.jsonl"))
+    counted, feedback = stats.first().asDict(), accounting.feedback(stats, whole, F.lit(of("skipped")), F.lit(started_ms).cast("long"), F.lit(int(time.time() * 1000)).cast("long")).first().asDict()
     for f in files:
         store.delete(f["path"])
         store.move(f"_staging/{f['path']}", f["path"])
     manifest = {
-        "schema_version": SCHEMA_VERSION, "input_root": input_root, "input_format": input_format, "config_hash": hashlib.sha256(json.dumps(config or {}, sort_keys=True).encode()).hexdigest(), "token_estimator": "unicode-word-v1",
-        "counts": stats | {"trajectories": len(files) - 1, "reason_counts": reasons, "skip_reason_counts": skipped, "quarantined_records": sum(skipped.values())}, "files": sorted(files, key=lambda f: f["path"]),
-        "status": "success", "started_at_ms": started_ms, "completed_at_ms": int(time.time() * 1000), "total_bytes": sum(f["bytes"] for f in files), "record_count": len(files) - 1,
+        "schema_version": SCHEMA_VERSION, "created_at": datetime.now(UTC).isoformat(), "input_root": input_root, "input_format": input_format, "config_hash": hashlib.sha256(json.dumps(config or {}, sort_keys=True).encode()).hexdigest(), "token_estimator": "unicode-word-v1",
+        "counts": {
+            "accepted": counted["accepted"], "quarantined_trajectories": counted["quarantined"], "quarantined_records": of("quarantined", "excluded"), "excluded_records": of("excluded"), "duplicate_trajectories": counted["duplicates"],
+            "input_files": covered + of("skipped", "quarantined", "excluded"), "reason_counts": reasons, "skipped_inputs": of("skipped"), "skip_reason_counts": {reason: n for (kind, reason), n in sorted(left.items()) if kind == "skipped"},
+        },
+        "files": sorted(files, key=lambda f: f["path"]), **feedback,
     }
     store.write("_staging/manifest.json", json.dumps(manifest, sort_keys=True))
     store.delete("manifest.json")
@@ -177,16 +146,34 @@ def validate(spark: SparkSession, root: str) -> list[str]:
     code = F.when(F.col("sha256").isNull(), "unlisted file").when(F.col("_sha").isNull(), "missing file").when((F.col("sha256") != F.col("_sha")) | (F.col("bytes") != F.col("_bytes")), "changed file")
     errors += [f"{r['code']}: {r['path']}" for r in both.select("path", code.alias("code")).where("code IS NOT NULL").orderBy("path").limit(100).collect()]
     lines = found.select("path", F.explode(F.split(F.rtrim(F.decode("content", "UTF-8"), F.lit("\n")), "\n")).alias("line"))
-    rows = lines.where("path <> 'lineage.jsonl'").select("path", F.get_json_object("line", "$.trajectory_id").alias("trajectory_id"), F.get_json_object("line", "$.total_rounds").alias("rounds"))
-    errors += [f"not one whole row: {r['path']}" for r in rows.groupBy("path").agg(F.count("*").alias("n"), F.count("trajectory_id").alias("m")).where("n <> 1 OR m <> 1").limit(100).collect()]
-    lineage = lines.where("path = 'lineage.jsonl'").select(F.get_json_object("line", "$.trajectory_id").alias("trajectory_id"))
-    nested = lines.where("path <> 'lineage.jsonl'").select(F.explode(F.regexp_extract_all("line", F.lit(r'"trajectory_id":"([0-9a-f]{64})"'), F.lit(1))).alias("trajectory_id"))
-    errors += [f"{r['code']}: {r['trajectory_id']}" for r in accounting.lineage_mismatch(nested, lineage).limit(100).collect()]
-    if rows.count() != manifest["record_count"]:
-        errors.append("record count differs")
+    rows = lines.where("path <> 'lineage.jsonl'")
+    errors += [f"not one row: {r['path']}" for r in rows.groupBy("path").agg(F.count("*").alias("n")).where("n <> 1").limit(100).collect()]
+    errors += [f"{r['path']}: {r['error']}" for r in rows.mapInPandas(_broken, "path string, error string").limit(100).collect()]
+    lineage = lines.where("path = 'lineage.jsonl' AND line <> ''").select(F.from_json("line", "trajectory_id string, origin_count long, origins array<struct<source_ref:string>>").alias("x")).select("x.*")
+    twice = lineage.groupBy("trajectory_id").count().where("count > 1 OR trajectory_id IS NULL")
+    errors += [f"repeated or missing id: {r['trajectory_id']}" for r in twice.limit(100).collect()]
+    errors += [f"origin count differs: {r['trajectory_id']}" for r in lineage.where("origin_count <> size(origins)").limit(100).collect()]
+    counts, sources = manifest["counts"], lineage.select(F.explode("origins.source_ref").alias("s")).agg(F.count_distinct("s")).first()[0]
+    data = [f for f in manifest["files"] if f["path"] != "lineage.jsonl"]
+    equal = {
+        "record_count": (manifest["record_count"], len(data)), "accepted and quarantined": (manifest["record_count"], counts["accepted"] + counts["quarantined_trajectories"]), "total_bytes": (manifest["total_bytes"], sum(f["bytes"] for f in data)),
+        "input_files": (counts["input_files"], sources + counts["skipped_inputs"] + counts["quarantined_records"]), "excluded": (True, counts["excluded_records"] <= counts["quarantined_records"]), "clock": (True, manifest["started_at_ms"] <= manifest["completed_at_ms"]),
+    }
+    errors += [f"{name} differs: {a} and {b}" for name, (a, b) in equal.items() if a != b]
     return errors
 
 
+def _broken(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for rows in batches:
+        out = []
+        for path, line in zip(rows["path"], rows["line"], strict=True):
+            try:
+                out += [(path, e) for e in record_errors(json.loads(line))]
+            except ValueError:
+                out.append((path, "not JSON"))
+        yield pd.DataFrame(out, columns=["path", "error"])
+
+
 def inspect(spark: SparkSession, root: str, trajectory_id: str) -> dict | None:
     """The lineage of one trajectory."""
     found = spark.read.text(f"{root.rstrip('/')}/lineage.jsonl").where(F.get_json_object("value", "$.trajectory_id") == trajectory_id).limit(1).collect()

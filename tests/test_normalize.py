@@ -89,11 +89,15 @@ def test_mounts(run):
 def test_publish_validate_inspect(spark, run, tmp_path):
     out = str(tmp_path / "out")
     manifest = sinks.publish(spark, run, out, "in", "freerouter")
-    assert manifest["record_count"] == 5 and manifest["counts"]["skip_reason_counts"]["invalid_json"] == 1
+    assert manifest["record_count"] == 5 and manifest["counts"]["skip_reason_counts"] == {"invalid_json": 1, "unsupported_endpoint": 1}
+    assert manifest["counts"]["quarantined_records"] == 2 and manifest["counts"]["excluded_records"] == 1 and manifest["counts"]["input_files"] == 13
     assert sinks.validate(spark, out) == []
     parent = next(json.loads((tmp_path / "out" / f["path"]).read_text()) for f in manifest["files"] if f["path"].startswith("s4"))
     assert parent["sub_agent_trajectory"]["k1"]["messages"][-1]["content"] == "dug"
-    assert sinks.inspect(spark, out, parent["trajectory_id"])["representative"] == "a/09.json" and sinks.inspect(spark, out, "no") is None
+    ids = {r["source_path"]: r["trajectory_id"] for r in run.trajectories.collect()}
+    found = sinks.inspect(spark, out, ids["a/09.json"])
+    assert found["representative"] == "a/09.json" and [o["source_ref"] for o in found["origins"]] == ["a/08.json", "a/10.json", "a/09.json"] and sinks.inspect(spark, out, "no") is None
+    assert parent["metadata"]["session_id"] == "s4" and parent["tool_call_check"]["total_calls"] == 1 and "completeness" not in parent["sub_agent_trajectory"]["k1"]
     again = sinks.publish(spark, run, out, "in", "freerouter")
     assert [f["sha256"] for f in again["files"]] == [f["sha256"] for f in manifest["files"]]
     (tmp_path / "out" / "stray.jsonl").write_text("{}")
