@@ -93,6 +93,7 @@ def dedup_units(docs: DataFrame, kind: str = "line", least_words: int = 5) -> Da
     found = stored(docs.mapInArrow(_digests(kind, least_words), "doc_id long, row_hash long, high long, low long, start long, end long"), "units")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash", "start")
     first = found.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("other")).where("first <> other").select("high", "low", "first")
+    first = stored(first, "first")  # a table of its own, so adaptive execution can split the rows of a hot unit
     gone = found.join(first, ["high", "low"]).where(place != F.col("first"))
     gone = gone.groupBy("doc_id", "row_hash").agg(F.collect_list(F.struct("start", "end", F.col("first.doc_id").alias("first_doc_id"))).alias("gone"))
     gone = gone.select(F.col("doc_id").alias("d"), F.col("row_hash").alias("r"), "gone")
