@@ -227,11 +227,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: flo
     """
     docs = columns(docs, doc_id="long", text="string")
     sets = stored(docs.mapInArrow(_sets(size), "doc_id long, n_shingles long, high long, low long, signature binary"), "sets")
-    classes = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("high", "low").agg(F.min("doc_id").alias("rep"))
+    # aggregates that are joined back are tables of their own, so adaptive execution can split the rows of a hot key
+    classes = stored(sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("high", "low").agg(F.min("doc_id").alias("rep")), "classes")
     reps = sets.join(classes.select(F.col("rep").alias("doc_id"), "high", "low"), ["doc_id", "high", "low"], "left_semi").select(F.col("doc_id").alias("rep"), "n_shingles", "signature").dropDuplicates(["rep"])
     reps = stored(reps, "reps")
     bands = reps.mapInArrow(_bands, "band long, rep long")
-    shared = bands.groupBy("band").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "head")
+    shared = stored(bands.groupBy("band").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "head"), "shared")
     buckets = stored(bands.join(shared, "band"), "buckets")
     involved = buckets.select(F.col("rep").alias("doc_id")).distinct()
     texts = stored(docs.join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
@@ -247,6 +248,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: flo
     found = components(first)
     named = stored(buckets.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", F.coalesce("component", "rep").alias("component")), "named")
     mixed = named.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x < y").select("band", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks"))
+    mixed = stored(mixed, "mixed")
     side = F.pmod(F.xxhash64("rep"), F.col("blocks"))
     dealt = named.join(mixed, "band").withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.select(F.xxhash64("band", F.least("side", "other"), F.greatest("side", "other")).alias("block"), "rep", "component", "side", (F.col("side") == F.col("other")).alias("single"))
@@ -260,7 +262,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: flo
     ends = second.join(found.select(F.col("node").alias("a"), F.col("component").alias("x")), "a", "left").join(found.select(F.col("node").alias("b"), F.col("component").alias("y")), "b", "left")
     merged = components(ends.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")))
     whole = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("node", F.coalesce("component", "rep")).drop("component")
-    whole = whole.join(merged, "node", "left").select("high", "low", F.coalesce("component", "node").alias("component_id"))
+    whole = stored(whole.join(merged, "node", "left").select("high", "low", F.coalesce("component", "node").alias("component_id")), "whole")
     out = sets.select("doc_id", "n_shingles", "high", "low").join(whole, ["high", "low"], "left")
     group = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", group.alias("component_id"), F.coalesce(F.col("doc_id") == group, F.lit(True)).alias("kept"))
