@@ -17,26 +17,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _place(names: list[str], name: str) -> int:
+    """Where a column is; of columns whose names differ in case alone, the exact name counts first, then the first one."""
+    return names.index(name) if name in names else [n.lower() for n in names].index(name.lower())
+
+
 def carry(df: DataFrame, **types: str) -> DataFrame:
-    """The named columns, cast, and behind them all columns of ``df`` by place as ``_c0``, ``_c1``, ...; of columns
-    whose names clash, also but for their case, the exact name counts first, then the first one."""
-    names = df.columns
-    low = [n.lower() for n in names]
-    at = {n: names.index(n) if n in names else low.index(n.lower()) for n in types}
-    wide = df.toDF(*[f"_c{k}" for k in range(len(names))])
-    return wide.select(*[F.col(f"_c{at[n]}").cast(t).alias(n) for n, t in types.items()], *wide.columns)
+    """The named columns, cast, and behind them the other columns of ``df`` by place as ``_c0``, ``_c1``, ..., with those
+    that the cast changes; so names that clash don't matter, and no text is there twice."""
+    wide = df.toDF(*[f"_c{k}" for k in range(len(df.columns))])
+    at = {n: _place(df.columns, n) for n in types}
+    named = wide.select(*[F.col(f"_c{at[n]}").cast(t).alias(n) for n, t in types.items()], *wide.columns)
+    same = {f"_c{k}" for n, k in at.items() if named.schema[n].dataType == wide.schema[f"_c{k}"].dataType}
+    return named.drop(*same)
 
 
 def columns(df: DataFrame, **types: str) -> DataFrame:
     """The named columns alone, cast; extra columns, whatever their names, take no part."""
-    return carry(df, **types).select(*types)
+    return carry(df, **types).select(*types)  # what is not selected is not read
 
 
 def carried(df: DataFrame, like: DataFrame, **changed: Column) -> DataFrame:
-    """What ``df`` still holds of the columns of ``like``, under their names, with some of them changed."""
-    low = [n.lower() for n in like.columns]
-    new = {low.index(n.lower()): c.cast(like.schema[low.index(n.lower())].dataType) for n, c in changed.items() if n.lower() in low}
-    return df.select(*[new.get(k, F.col(f"_c{k}")).alias(f"_c{k}") for k in range(len(low))]).toDF(*like.columns)
+    """What ``df``, made from :func:`carry` of ``like``, still holds of its columns, under their names, with some changed."""
+    new = {_place(like.columns, n): c for n, c in changed.items()}
+    kept = [new.get(k, F.col(f"_c{k}" if f"_c{k}" in df.columns else n.lower())) for k, n in enumerate(like.columns)]
+    return df.select(*[c.cast(f.dataType).alias(f"_c{k}") for k, (c, f) in enumerate(zip(kept, like.schema, strict=True))]).toDF(*like.columns)
 
 
 # --- scratch tables -------------------------------------------------------

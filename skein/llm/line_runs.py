@@ -69,8 +69,8 @@ def without_line_runs(docs: DataFrame, least_lines: int = 2) -> DataFrame:
     out = _cut(carry(docs, doc_id="long", text="string"), least_lines)
     out = out.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
     changed = F.col("n_removed") > 0
-    at = [n.lower() for n in docs.columns].index("n_chars") if "n_chars" in [n.lower() for n in docs.columns] else None
-    n_chars = {} if at is None else {"n_chars": F.when(changed, F.length("text")).otherwise(F.col(f"_c{at}"))}
+    low = [n.lower() for n in docs.columns]
+    n_chars = {"n_chars": F.when(changed, F.length("text")).otherwise(F.col(f"_c{low.index('n_chars')}"))} if "n_chars" in low else {}
     return carried(out, docs, text=F.col("text"), **n_chars)
 
 
