@@ -103,3 +103,35 @@ def first_rows(df: DataFrame, most: int, *order: str) -> DataFrame:
     """The first ``most`` rows and, on each, how many were left out."""
     total = df.agg(F.greatest(F.count("*") - most, F.lit(0).cast("long")).alias("omitted"))
     return df.orderBy(*order).limit(most).join(F.broadcast(total))
+
+
+def of_user(captures: DataFrame, snapshots: DataFrame, user_id: str) -> DataFrame:
+    """The snapshots of a user's captures, in capture order: ``captures(source_path, status)``."""
+    return snapshots.where(F.col("user_id") == user_id).join(captures, "source_path").orderBy(*[c for c in ORDER if c in snapshots.columns])
+
+
+def with_metadata(snapshots: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Snapshots with the metadata that there is of them."""
+    return snapshots.join(metadata, "source_path", "left")
+
+
+def of_paths(snapshots: DataFrame, paths: DataFrame) -> DataFrame:
+    return snapshots.join(paths.select("source_path").distinct(), "source_path", "left_semi")
+
+
+def inventory_errors(objects: DataFrame, prefix: str) -> DataFrame:
+    """``objects(key)`` that a listing must not have: keys it has twice, and keys outside ``prefix`` or with empty or dotted parts."""
+    wrong = ~F.startswith("key", F.lit(prefix)) | F.exists(F.split(F.substr(F.col("key"), F.lit(len(prefix) + 1)), "/"), lambda p: p.isin("", ".", ".."))
+    code = F.when(F.col("n") > 1, "duplicate_key").when(wrong, "unsafe_key")
+    return objects.groupBy("key").agg(F.count("*").alias("n")).select("key", code.alias("code")).where("code IS NOT NULL")
+
+
+def changed_while_read(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Files whose length or time differs between two listings ``(path, modificationTime, length)``."""
+    return before.join(after.select("path", F.col("modificationTime").alias("_m"), F.col("length").alias("_l")), "path", "left").where(F.col("_m").isNull() | (F.col("_m") != F.col("modificationTime")) | (F.col("_l") != F.col("length"))).select("path")
+
+
+def renumbering_errors(published: DataFrame) -> DataFrame:
+    """Published roots whose ``sub_session_id`` isn't what their order gives; a number that an older row lacks is no error."""
+    given = published.withColumnRenamed("sub_session_id", "_given")
+    return sub_session_numbers(given).where("_given IS NOT NULL AND _given <> sub_session_id").select("trajectory_id", "_given", "sub_session_id")

@@ -176,3 +176,17 @@ def plan(events: DataFrame, contains: DataFrame, children: DataFrame) -> dict[st
     )
     unmounted = bound.join(kept.select(*EVENT), list(EVENT), "left_anti")
     return {"edges": kept, "diagnostics": diagnostics.unionByName(unmounted.select(F.concat_ws("/", *EVENT).alias("subject"), F.lit("unmounted_spawn_call").alias("code"))), "unmounted": unmounted}
+
+
+def message_index(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One record for each agent message of a thread, and the ids that can't be trusted: ``(session_id, thread_id, message_id, code)``.
+
+    ``messages(session_id, thread_id, capture_id, message_id, item)``. Captures replay messages, so equal items are one; an id
+    that one capture has twice, or that stands for different items, is not used."""
+    key = ["session_id", "thread_id", "message_id"]
+    own = messages.where(F.coalesce("message_id", F.lit("")) != "")
+    per = own.groupBy(*key, "capture_id").agg(F.count("*").alias("n"), F.min("item").alias("low"), F.max("item").alias("high"))
+    whole = per.groupBy(*key).agg(F.max("n").alias("n"), F.min("low").alias("item"), F.max("high").alias("other"))
+    code = F.array_compact(F.array(F.when(F.col("n") > 1, "duplicate_agent_message_id"), F.when(F.col("item") != F.col("other"), "conflicting_agent_message_evidence")))
+    told = whole.withColumn("codes", code)
+    return told.where("size(codes) = 0").select(*key, "item"), told.select(*key, F.explode("codes").alias("code"))

@@ -7,13 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import names
+from ..functions import markers, names
 from ..functions.canonical import signature
 from ..functions.tokens import estimated_tokens, visible_json, visible_text
 from ..operators import accounting, merge, mounts, quality, tools
 from ..operators.prefix import Fold, scope, token
 from ..operators.storage import settled
 from ..sources import captures
+from ..sources.store import Store
 
 ORDER = ("captured_at", "turn_id", "request_id", "source_path", "source_sha256")
 TRACKED = ("instructions", "model", "harness", "termination", "user_id")
@@ -106,11 +107,10 @@ def normalize_snapshots(parsed: DataFrame) -> Normalized:
     linked = F.greatest(*[F.coalesce(F.length(c), F.lit(0)) for c in ("subagent_marker", "parent_thread_id", "parent_turn_id", "forked_from_thread_id")]) > 0
     kids = leaves.where(linked)
     chosen, _ = mounts.longest_children(kids.select("leaf_id", "session_id", "thread_id", F.size("tokens").alias("length"), F.concat_ws("\x1f", *ORDER).alias("leaf_key")))
-    marker = F.col("subagent_marker")
+    told = markers.marker(F.col("subagent_marker"))
     children = kids.join(chosen.select("leaf_id"), "leaf_id", "left_semi").select(
         F.col("leaf_id").alias("child_id"), "session_id", "parent_thread_id", "parent_turn_id",
-        F.coalesce(F.get_json_object(marker, "$.spawn_call_id"), F.get_json_object(marker, "$.call_id"), F.lit("")).alias("marker_call_id"),
-        F.coalesce(F.get_json_object(marker, "$.task_name"), F.lit("")).alias("marker_task"), _recipient().alias("recipient"),
+        told["spawn_call_id"].alias("marker_call_id"), told["task_name"].alias("marker_task"), _recipient().alias("recipient"),
     )
     mounted = mounts.plan(events, holds, children)
     edges = settled(mounted["edges"].select("child_id", "parent_leaf", "call_id"))
@@ -187,7 +187,18 @@ def _spawn_events(kept: DataFrame) -> DataFrame:
     return calls.join(agents, ["session_id", "thread_id", "call_id"], "left").select(*mounts.EVENT, "arguments", F.coalesce(F.get_json_object("arguments", "$.task_name"), F.lit("")).alias("task_name"), F.coalesce("agent_name", F.lit("")).alias("agent_name"))
 
 
-def normalize(spark: SparkSession, root: str, source: str, work: str) -> Normalized:
-    """The files below ``root`` normalized; parsed captures are written once to ``work`` and read back."""
-    captures.parse_captures(captures.read(spark, root, source), source).write.mode("overwrite").parquet(f"{work}/snapshots")
-    return normalize_snapshots(spark.read.parquet(f"{work}/snapshots"))
+def normalize(spark: SparkSession, root: str, source: str, work: str, resume: bool = False) -> Normalized:
+    """The files below ``root`` normalized; parsed captures are written to ``work`` and read back.
+
+    With ``resume`` only captures that are new or changed since the last run are parsed, and those that are gone drop out."""
+    raw, path = captures.read(spark, root, source), f"{work.rstrip('/')}/snapshots"
+    if resume and Store(spark, work).exists("snapshots"):
+        old = settled(spark.read.parquet(path))
+        state = accounting.resume_diff(old.select("source_ref", F.col("sha256").alias("sha")), raw.select("source_ref", F.col("sha256").alias("sha")))
+        state = settled(state)
+        same = old.join(state.where("state = 'unchanged'"), "source_ref", "left_semi")
+        parsed = same.unionByName(captures.parse_captures(raw.join(state.where("state IN ('added', 'changed')"), "source_ref", "left_semi"), source))
+        settled(parsed).write.mode("overwrite").parquet(path)
+    else:
+        captures.parse_captures(raw, source).write.mode("overwrite").parquet(path)
+    return normalize_snapshots(spark.read.parquet(path))

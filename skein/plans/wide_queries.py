@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import canonical, projection, tokens
-from ..operators import merge
+from ..functions import canonical, markers, names, projection, tokens
+from ..operators import accounting, merge, mounts
 from ..operators.storage import settled
 from ..sources import captures, envelopes
 from ..streaming import fold
@@ -139,3 +139,57 @@ REPLAYS = "SELECT CAST(user_id % 20 AS STRING) AS leaf_id, 'f' || CAST(user_id A
 @query(f"SELECT leaf_id, call_id, occurrence, count(*) OVER (PARTITION BY leaf_id, call_id, occurrence) * 0 AS variant, CASE WHEN named THEN 'web' ELSE '' END AS name, CASE WHEN answered THEN 'r' END AS result, false AS conflict FROM (SELECT leaf_id, call_id, occurrence, bool_or(name = 'web') AS named, bool_or(result IS NOT NULL) AS answered FROM (SELECT *, row_number() OVER (PARTITION BY leaf_id, source_path, call_id ORDER BY pos) - 1 AS occurrence FROM ({REPLAYS})) GROUP BY ALL)")
 def server_call_merge(spark, sf_dir):
     return merge.merge_server_calls(inputs.derive(spark, sf_dir, REPLAYS)).select("leaf_id", "call_id", "occurrence", "variant", "name", "result", "conflict")
+
+
+MARKED = "SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN '{\"call_id\":\"c1\",\"task_name\":\"t\"}' WHEN 1 THEN '{\"routing\":{\"spawn_call_id\":\"c2\"},\"forked_from\":\"f\"}' WHEN 2 THEN 'call_id=c3; task_name = x' WHEN 3 THEN 'opaque' WHEN 4 THEN '{broken' ELSE '' END AS raw FROM {orders}"
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 'c1' WHEN 1 THEN 'c2' WHEN 2 THEN 'c3' ELSE '' END AS spawn_call_id, CASE o_orderkey % 6 WHEN 0 THEN 't' WHEN 2 THEN 'x' ELSE '' END AS task_name, CASE WHEN o_orderkey % 6 = 1 THEN 'f' ELSE '' END AS forked, CASE o_orderkey % 6 WHEN 3 THEN 'opaque' WHEN 4 THEN '{broken' ELSE '' END AS opaque FROM orders")
+def routing_markers(spark, sf_dir):
+    m = markers.marker(F.col("raw"))
+    return inputs.derive(spark, sf_dir, MARKED).select("o_orderkey", m["spawn_call_id"].alias("spawn_call_id"), m["task_name"].alias("task_name"), m["forked_from_thread_id"].alias("forked"), m["opaque"].alias("opaque"))
+
+
+MAIL = "SELECT user_id % 30 AS session_id, user_id % 3 AS thread_id, event_id % 7 AS capture_id, 'm' || CAST(event_id % 211 AS STRING) AS message_id, CASE WHEN event_id % 13 = 0 THEN event_type ELSE 'same' END AS item FROM {events}"
+
+
+@query(f"WITH m AS ({MAIL}), p AS (SELECT session_id, thread_id, message_id, max(n) AS n, count(DISTINCT item) AS k FROM (SELECT *, count(*) OVER (PARTITION BY session_id, thread_id, message_id, capture_id) AS n FROM m) GROUP BY ALL) SELECT session_id, thread_id, message_id, 'duplicate_agent_message_id' AS code FROM p WHERE n > 1 UNION ALL SELECT session_id, thread_id, message_id, 'conflicting_agent_message_evidence' FROM p WHERE k > 1 UNION ALL SELECT session_id, thread_id, message_id, NULL FROM p WHERE n = 1 AND k = 1")
+def agent_message_index(spark, sf_dir):
+    good, bad = mounts.message_index(inputs.derive(spark, sf_dir, MAIL))
+    return good.drop("item").withColumn("code", F.lit(None).cast("string")).unionByName(bad)
+
+
+@query("SELECT o_orderkey, o_orderstatus, CASE WHEN o_custkey % 3 = 0 THEN o_custkey ELSE -1 END AS note FROM orders WHERE o_orderpriority = '1-URGENT'")
+def snapshots_of_user(spark, sf_dir):
+    o = inputs.table(spark, sf_dir, "orders")
+    path = F.col("o_orderkey").alias("source_path")
+    snapshots = o.select(path, F.col("o_orderpriority").alias("user_id"))
+    notes = o.where("o_custkey % 3 = 0").select(path, F.col("o_custkey").alias("note"))
+    out = accounting.with_metadata(accounting.of_user(o.select(path, "o_orderstatus"), snapshots, "1-URGENT"), notes)
+    return out.select(F.col("source_path").alias("o_orderkey"), "o_orderstatus", F.coalesce("note", F.lit(-1)).alias("note"))
+
+
+@query("SELECT o_orderkey AS trajectory_id, given, n AS sub_session_id FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderkey % 4 END AS given, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey, o_orderpriority) - 1 AS n FROM orders) WHERE given IS NOT NULL AND given <> n")
+def label_renumber(spark, sf_dir):
+    o = inputs.table(spark, sf_dir, "orders")
+    rows = o.select(F.col("o_orderkey").alias("trajectory_id"), F.col("o_custkey").alias("session_id"), F.lit(False).alias("synthesized"), F.col("o_orderdate").alias("created_at"), F.col("o_orderpriority").alias("source_file"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey") % 4).alias("sub_session_id"))
+    return accounting.renumbering_errors(rows).select("trajectory_id", F.col("_given").alias("given"), F.col("sub_session_id").cast("long"))
+
+
+@query("SELECT key, CASE WHEN count(*) > 1 THEN 'duplicate_key' ELSE 'unsafe_key' END AS code FROM (SELECT CASE event_id % 50 WHEN 0 THEN 'in/twice' || (event_id // 100) WHEN 1 THEN 'out/' || event_id WHEN 2 THEN 'in//' || event_id WHEN 3 THEN 'in/../' || event_id ELSE 'in/a/' || event_id END AS key, event_id FROM events) GROUP BY key HAVING count(*) > 1 OR key NOT LIKE 'in/a/%' AND key NOT LIKE 'in/twice%'")
+def inventory_errors(spark, sf_dir):
+    k, key = F.col("event_id"), F.col("event_id").cast("string")
+    named = F.when(k % 50 == 0, F.concat(F.lit("in/twice"), F.floor(k / 100).cast("string"))).when(k % 50 == 1, F.concat(F.lit("out/"), key)).when(k % 50 == 2, F.concat(F.lit("in//"), key)).when(k % 50 == 3, F.concat(F.lit("in/../"), key)).otherwise(F.concat(F.lit("in/a/"), key))
+    return accounting.inventory_errors(inputs.table(spark, sf_dir, "events").select(named.alias("key")), "in/")
+
+
+@query("SELECT event_id, 'HTTP ' || (400 + event_id % 200) || CASE event_id % 4 WHEN 0 THEN ' (type=' || event_type || '; code=k-1)' WHEN 1 THEN ' (type=' || event_type || ')' WHEN 2 THEN ' (code=c)' ELSE '' END AS detail FROM events")
+def error_summaries(spark, sf_dir):
+    k = F.col("event_id")
+    kind, code = F.when(k % 4 < 2, F.col("event_type")).when(k % 4 == 2, "two words"), F.when(k % 4 == 0, "k-1").when(k % 4 == 2, "c").when(k % 4 == 3, "x/y")
+    return inputs.table(spark, sf_dir, "events").select("event_id", names.error_summary(400 + k % 200, kind, code).alias("detail"))
+
+
+@query("SELECT event_id FROM events ORDER BY ts, event_id LIMIT 20 OFFSET 35")
+def positional_access(spark, sf_dir):
+    return inputs.table(spark, sf_dir, "events").orderBy("ts", "event_id").offset(35).limit(20).select("event_id")

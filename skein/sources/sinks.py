@@ -15,51 +15,12 @@ from pyspark.sql import functions as F
 from ..operators import accounting
 from ..plans.normalize import Normalized
 from ..plans.published import documents, record_errors
+from .store import Store
 
 SCHEMA_VERSION = "v4"
 LARGEST = 512 << 20
 
 
-class Store:
-    """A folder in any file system that Spark reaches."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.root = root.rstrip("/")
-        self._jvm = spark.sparkContext._jvm
-        self._path = self._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _at(self, name: str):
-        return self._path(f"{self.root}/{name}" if name else self.root)
-
-    def exists(self, name: str) -> bool:
-        return self._fs.exists(self._at(name))
-
-    def delete(self, name: str) -> None:
-        self._fs.delete(self._at(name), True)
-
-    def move(self, name: str, to: str) -> None:
-        self._fs.mkdirs(self._at(to).getParent())
-        if not self._fs.rename(self._at(name), self._at(to)):
-            raise OSError(f"can't move {name} to {to}")
-
-    def write(self, name: str, text: str) -> None:
-        out = self._fs.create(self._at(name), True)
-        try:
-            out.write(bytearray(text.encode()))
-        finally:
-            out.close()
-
-    def read(self, name: str) -> str | None:
-        if not self.exists(name):
-            return None
-        stream = self._fs.open(self._at(name))
-        try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-
 def publish_rows(run: Normalized, root: str, rows_a_file: int = 100_000) -> None:
     """The same documents as compressed JSON lines, many to a file, with lineage beside them: no name or count goes by the driver."""
     documents(run.trajectories, run.messages).write.option("compression", "gzip").option("maxRecordsPerFile", rows_a_file).mode("overwrite").json(f"{root.rstrip('/')}/trajectories")

@@ -204,3 +204,82 @@ def test_discovery(spark, tmp_path):
     raw = captures.read(spark, str(tmp_path), "freerouter").orderBy("source_ref")
     assert [r["source_ref"] for r in raw.collect()] == ["a/req_1.json", "b/c/req_2.json", "x.json"]
     assert raw.select(F.count_distinct("sha256")).first()[0] == 1
+
+
+def test_resume(spark, tmp_path):
+    root, work = tmp_path / "in", str(tmp_path / "work")
+    root.mkdir()
+    (root / "a.json").write_text(json.dumps(FIRST))
+    (root / "b.json").write_text(json.dumps(ALIEN))
+    assert normalize(spark, str(root), "freerouter", work).trajectories.count() == 2
+    (root / "a.json").write_text(json.dumps(SECOND))
+    (root / "b.json").unlink()
+    (root / "c.json").write_text(json.dumps(BRANCH))
+    rows = normalize(spark, str(root), "freerouter", work, resume=True)
+    assert sorted(r["source_path"] for r in rows.trajectories.collect()) == ["a.json", "c.json"]
+
+
+def test_labels_of_published(spark, run, tmp_path):
+    from skein.operators.labels import LabelJob, Taxonomy
+    from skein.plans.label import label
+
+    out, cache = str(tmp_path / "out"), str(tmp_path / "cache")
+    sinks.publish(spark, run, out, "in", "freerouter")
+    answer = json.dumps({"scenarios": ["s"], "capabilities": ["c"], "subjects": ["j"]})
+    job = LabelJob(Taxonomy(("s",), ("c",), ("j",)), lambda: lambda prompt: answer)
+    assert label(spark, out, str(tmp_path / "one"), job, cache) == {"input_trajectories": 5, "classified": 3, "failed": 0, "skipped_no_toolcall": 2, "cache_hits": 0, "context_truncated": 0}
+    again = label(spark, out, str(tmp_path / "two"), LabelJob(job.taxonomy, lambda: lambda prompt: 1 / 0), cache)
+    assert again["classified"] == 3 and again["cache_hits"] == 3
+    rows = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "one" / "trajectories")).collect()]
+    assert sorted(r["classification"]["status"] for r in rows) == ["accepted"] * 3 + ["skipped"] * 2
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from skein.__main__ import main
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps(SECOND))
+    out = str(tmp_path / "out")
+    assert main(["normalize", "--input", str(tmp_path / "in"), "--output", out, "--work", str(tmp_path / "work")]) == 0
+    assert json.loads(capsys.readouterr().out)["accepted"] == 1
+    assert main(["validate", "--output", out]) == 0 and main(["inspect", "--output", out, "none"]) == 1
+
+
+def test_record_contract():
+    from skein.plans.published import record_errors
+
+    assert record_errors([]) == ["$ is not an object"]
+    assert "$.messages is missing" in record_errors({"odd": 1}) and "$.odd is unknown" in record_errors({"odd": 1})
+
+
+def test_client():
+    import io
+    import urllib.error
+
+    from skein.operators.labels import ContextTooLong
+    from skein.sources.client import ChatClient, ConfigurationError, ServiceError
+
+    good = lambda: io.BytesIO(json.dumps({"choices": [{"message": {"content": "ok"}}]}).encode())
+    fault = lambda status, text="", **h: urllib.error.HTTPError("u", status, "", h, io.BytesIO(text.encode()))
+
+    def client(*steps, **more):
+        left, waits = list(steps), []
+
+        def opener(request, timeout):
+            step = left.pop(0)
+            if isinstance(step, Exception):
+                raise step
+            return step
+
+        return ChatClient("https://x/y", "m", "k", opener=opener, sleep=waits.append, jitter=lambda: 1.0, **more), waits
+
+    own, waits = client(fault(429, **{"Retry-After": "7"}), fault(503), urllib.error.URLError("x"), io.BytesIO(b"{}"), good())
+    assert own("p") == "ok" and waits == [7.0, 2.0, 4.0, 8.0]
+    for step, kind in ((fault(401), ConfigurationError), (fault(400), ServiceError), (fault(413, "maximum context length"), ContextTooLong)):
+        with pytest.raises(kind):
+            client(step)[0]("p")
+    with pytest.raises(ServiceError, match="rate_limit_exhausted"):
+        client(*[fault(429)] * 3, retries=2)[0]("p")
+    with pytest.raises(ConfigurationError):
+        ChatClient("file://x", "m", "k")
+    assert "k'" not in repr(client()[0])
