@@ -158,3 +158,60 @@ def test_messages_valid(spark):
     rows = [("assistant", True, None, None, None, True), ("assistant", True, 0, None, None, False), ("tool", False, None, "c", "", True), ("tool", False, None, "", "n", False), ("user", False, None, None, None, True), ("user", False, None, None, "n", False), ("robot", False, None, None, None, False)]
     df = spark.createDataFrame(rows, "role string, r boolean, n int, c string, name string, ok boolean")
     assert df.where(~quality.message_fields_valid(F.col("role"), F.col("r"), F.col("n"), F.col("c"), F.col("name")).eqNullSafe(F.col("ok"))).count() == 0
+
+
+def mount_tables(spark, events, holds, children):
+    e = spark.createDataFrame(events, "session_id string, thread_id string, turn_id string, call_id string, arguments string, task_name string, agent_name string")
+    h = spark.createDataFrame(holds, "leaf_id string, session_id string, thread_id string, call_id string, arguments string")
+    c = spark.createDataFrame(children, "child_id string, session_id string, parent_thread_id string, parent_turn_id string, marker_call_id string, marker_task string, recipient string")
+    return e, h, c
+
+
+def planned(spark, *tables):
+    out = mounts.plan(*mount_tables(spark, *tables))
+    return {(r["child_id"], r["parent_leaf"], r["call_id"]) for r in out["edges"].collect()}, {(r["subject"], r["code"]) for r in out["diagnostics"].collect()}
+
+
+TWO = [("s", "m", "t", "k1", "{}", "dig", "/root/dig"), ("s", "m", "t", "k2", "{}", "fill", "")]
+HELD = [("L", "s", "m", "k1", "{}"), ("L", "s", "m", "k2", "{}")]
+
+
+def test_two_children(spark):
+    kids = [("c1", "s", "m", "t", "k1", "", ""), ("c2", "s", "m", "t", "", "fill", "")]
+    assert planned(spark, TWO, HELD, kids) == ({("c1", "L", "k1"), ("c2", "L", "k2")}, set())
+
+
+@pytest.mark.parametrize(
+    ("holds", "kid", "code"),
+    [
+        (HELD, ("c", "s", "", "t", "k1", "", ""), "missing_parent_thread_id"),
+        (HELD, ("c", "s", "m", "", "k1", "", ""), "missing_parent_turn_id"),
+        (HELD, ("c", "s", "m", "other", "k1", "", ""), "missing_spawn_call"),
+        (HELD, ("c", "s", "m", "t", "k9", "", ""), "spawn_routing_mismatch"),
+        (HELD, ("c", "s", "m", "t", "", "", ""), "ambiguous_spawn_call"),
+        (HELD, ("c", "s", "m", "t", "", "", "/root/none"), "spawn_routing_mismatch"),
+        ([], ("c", "s", "m", "t", "k1", "", ""), "missing_spawn_call"),
+    ],
+)
+def test_routing_failures(spark, holds, kid, code):
+    edges, told = planned(spark, TWO, holds, [kid])
+    assert edges == set() and ("c", code) in told
+    assert holds or ("s/m/t/k1", "missing_parent_leaf") in told
+
+
+def test_recipients_claims_and_branches(spark):
+    assert planned(spark, TWO, HELD, [("c", "s", "m", "t", "", "", "/root/dig")])[0] == {("c", "L", "k1")}
+    assert planned(spark, TWO, HELD, [("c", "s", "m", "t", "", "", "/root/fill")])[0] == {("c", "L", "k2")}
+    both = planned(spark, TWO, HELD, [("c", "s", "m", "t", "k1", "", ""), ("d", "s", "m", "t", "k1", "", "")])
+    assert both[0] == set() and {("c", "multiple_children_for_spawn"), ("d", "multiple_children_for_spawn"), ("s/m/t/k1", "unmounted_spawn_call")} <= both[1]
+    twin = planned(spark, TWO, [*HELD, ("M", "s", "m", "k1", "{}")], [])
+    assert ("s/m/t/k1", "ambiguous_parent_leaf") in twin[1]
+    assert ("s/m/t/k1", "missing_parent_leaf") in planned(spark, TWO, [("L", "s", "m", "k1", '{"x":1}'), HELD[1]], [])[1]
+
+
+def test_cycles_and_islands(spark):
+    events = [("s", "a", "t", "k1", "{}", "", ""), ("s", "b", "t", "k2", "{}", "", ""), ("s", "c", "t", "k3", "{}", "", "")]
+    holds = [("A", "s", "a", "k1", "{}"), ("B", "s", "b", "k2", "{}"), ("C", "s", "c", "k3", "{}")]
+    kids = [("B", "s", "a", "t", "k1", "", ""), ("A", "s", "b", "t", "k2", "", ""), ("D", "s", "c", "t", "k3", "", ""), ("C", "s", "a", "gone", "", "", "")]
+    edges, told = planned(spark, events, holds, kids)
+    assert edges == set() and {("A", "mount_cycle"), ("B", "mount_cycle"), ("D", "unreachable_subagent"), ("C", "missing_spawn_call")} <= told
