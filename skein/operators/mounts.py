@@ -149,7 +149,8 @@ def affected_leaves(diagnostics: DataFrame, leaves: DataFrame) -> DataFrame:
 def plan(events: DataFrame, contains: DataFrame, children: DataFrame) -> dict[str, DataFrame]:
     """All steps in order: events bound, children routed, double claims and cycles removed, what no main root reaches dropped.
 
-    ``edges`` are the mounts left, ``diagnostics(subject, code)`` why others failed; ``unmounted`` the events without child."""
+    ``edges`` are the mounts left, ``diagnostics(subject, code)`` why others failed; ``unmounted`` the
+    bound events without child, ``unbound`` those that no one leaf holds."""
     events, children = settled(events), settled(children)
     bound, parents = bind_parents(events, contains)
     bound = settled(bound)
@@ -175,7 +176,7 @@ def plan(events: DataFrame, contains: DataFrame, children: DataFrame) -> dict[st
         .unionByName(named(adrift, "child_id", "unreachable_subagent"))
     )
     unmounted = bound.join(kept.select(*EVENT), list(EVENT), "left_anti")
-    return {"edges": kept, "diagnostics": diagnostics.unionByName(unmounted.select(F.concat_ws("/", *EVENT).alias("subject"), F.lit("unmounted_spawn_call").alias("code"))), "unmounted": unmounted}
+    return {"edges": kept, "diagnostics": diagnostics.unionByName(unmounted.select(F.concat_ws("/", *EVENT).alias("subject"), F.lit("unmounted_spawn_call").alias("code"))), "unmounted": unmounted, "unbound": parents}
 
 
 def message_index(messages: DataFrame) -> tuple[DataFrame, DataFrame]:

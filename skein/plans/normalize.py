@@ -114,7 +114,9 @@ def normalize_snapshots(parsed: DataFrame) -> Normalized:
     )
     mounted = mounts.plan(events, holds, children)
     edges = settled(mounted["edges"].select("child_id", "parent_leaf", "call_id"))
-    failed = mounted["diagnostics"].select(F.col("subject").alias("node_id"), F.col("code").alias("mount_code")).groupBy("node_id").agg(F.array_sort(F.collect_set("mount_code")).alias("mount_codes"))
+    concerned = mounts.affected_leaves(mounted["unbound"].select("code", "session_id", F.col("thread_id").alias("parent_thread_id"), F.lit(None).cast("string").alias("child_thread_id")), leaves.select("leaf_id", "session_id", "thread_id"))
+    failed = mounted["diagnostics"].select(F.col("subject").alias("node_id"), "code").unionByName(mounted["unmounted"].select(F.col("parent_leaf").alias("node_id"), F.lit("unmounted_spawn_call").alias("code"))).unionByName(concerned.select(F.col("leaf_id").alias("node_id"), "code"))
+    failed = failed.groupBy("node_id").agg(F.array_sort(F.collect_set("code")).alias("mount_codes"))
     spawned = calls.where(names.is_spawn(F.col("name"))).groupBy("node_id").agg(F.count("*").alias("spawn_calls"), F.countDistinct("call_id").alias("spawn_ids"))
     subs = edges.groupBy(F.col("parent_leaf").alias("node_id")).agg(F.count("*").alias("mounted_subs"), F.array_sort(F.collect_set("child_id")).alias("children"))
 
@@ -131,22 +133,34 @@ def normalize_snapshots(parsed: DataFrame) -> Normalized:
     hallucinated = F.size(F.array_distinct(F.transform(F.filter("issues", lambda i: (i["code"] == "responses_unsupported_tool_call") & (i["severity"] == "warning")), lambda i: F.struct(i["path"], i["detail"]))))
     subtree = (zero("spawn_calls") == zero("spawn_ids")) & (zero("mounted_subs") == zero("spawn_ids")) & (F.size(some("mount_codes")) == 0)
     has_sub = (zero("spawn_calls") > 0) | (zero("mounted_subs") > 0) | (F.size(some("mount_codes")) > 0)
-    is_child, local = linked, final & (F.size(some("pairing")) == 0)
+    if_ = lambda test, code: F.when(test, F.array(F.lit(code))).otherwise(F.array().cast("array<string>"))
+    local_reasons = F.concat(
+        codes(F.col("issues"), "error"), some("pairing"), if_(F.size("missing_tool_defs") > 0, "missing_tool_definitions"),
+        if_(zero("extra_arg_calls") + zero("missing_required_calls") + zero("type_mismatch_calls") > 0, "tool_call_schema_mismatch"), if_(~F.col("has_final_turn"), "no_final_assistant_turn"),
+        if_(F.size("compaction_items") > 0, "opaque_compaction_context"), if_(F.col("hallucinated_calls") > 0, "hallucinated_tool_call"),
+        if_(F.coalesce("tool_conflict", F.lit(False)), "conflicting_tool_definition"), if_(F.coalesce("server_conflict", F.lit(False)), "conflicting_server_tool_call"),
+    )
     node = node.withColumns(
         {
-            "is_subagent": is_child, "has_final_turn": final, "subtree_complete": subtree, "hallucinated_calls": hallucinated.cast("long"), "trailing_unanswered_call": F.coalesce("trailing_unanswered_call", F.lit(False)),
+            "is_subagent": linked, "has_final_turn": final, "local_subtree": subtree, "has_sub": has_sub, "hallucinated_calls": hallucinated.cast("long"), "trailing_unanswered_call": F.coalesce("trailing_unanswered_call", F.lit(False)),
             "total_tokens": estimated_tokens(F.col("instructions")) + zero("message_tokens") + zero("call_tokens") + zero("definition_tokens"), "missing_tool_defs": some("missing_tool_defs"),
-            "completeness_tag": quality.completeness_tag(local, has_sub, subtree, is_child & F.col("parent_id").isNull()),
-            "tool_defs_tag": quality.tool_defs_tag(F.size(some("missing_tool_defs")), F.lit(False), F.lit(True)), "tool_call_tag": quality.tool_call_tag(zero("mismatch_calls"), F.lit(False), F.lit(True)),
+        }
+    ).withColumn("local_reasons", local_reasons)
+    node = settled(node)
+    # what descendants add to their root; a nested agent keeps to itself
+    flags = node.select("node_id", (F.size("missing_tool_defs") > 0).alias("defs_bad"), (zero("mismatch_calls") > 0).alias("calls_bad"), ((F.size("local_reasons") > 0) | (zero("mismatch_calls") > 0)).alias("quality_bad"), F.col("local_subtree").alias("complete"), F.lit(0).cast("long").alias("unkeyed"))
+    tree = mounts.reachable(edges.select(F.col("child_id").alias("node"), F.col("parent_leaf").alias("up")), node.where("parent_id IS NULL").select(F.col("node_id").alias("node")))
+    roll = quality.tree_rollup(flags, tree.select(F.col("root").alias("root_id"), F.col("node").alias("node_id"))).withColumnRenamed("root_id", "node_id")
+    node = node.join(roll, "node_id", "left")
+    top, below = F.col("parent_id").isNull(), lambda c: F.coalesce(F.col(c), F.lit(False))
+    local = F.col("has_final_turn") & (F.size(some("pairing")) == 0)
+    node = node.withColumn("subtree_complete", F.coalesce("subtree_complete", "local_subtree")).withColumns(
+        {
+            "completeness_tag": quality.completeness_tag(local, F.col("has_sub"), F.col("subtree_complete"), F.col("is_subagent") & top),
+            "tool_defs_tag": quality.tool_defs_tag(F.size("missing_tool_defs"), below("child_defs_bad"), top), "tool_call_tag": quality.tool_call_tag(zero("mismatch_calls"), below("child_calls_bad"), top),
         }
     )
-    if_ = lambda test, code: F.when(test, F.array(F.lit(code))).otherwise(F.array().cast("array<string>"))
-    reasons = F.concat(
-        codes(F.col("issues"), "error"), some("pairing"), some("mount_codes"), if_(F.size("missing_tool_defs") > 0, "missing_tool_definitions"),
-        if_(zero("extra_arg_calls") + zero("missing_required_calls") + zero("type_mismatch_calls") > 0, "tool_call_schema_mismatch"), if_(~F.col("has_final_turn"), "no_final_assistant_turn"),
-        if_(F.size("compaction_items") > 0, "opaque_compaction_context"), if_(F.col("hallucinated_calls") > 0, "hallucinated_tool_call"), if_(has_sub & ~F.col("subtree_complete"), "incomplete_subagent_mount"),
-        if_(F.col("is_subagent") & F.col("parent_id").isNull(), "orphan_subagent"), if_(F.coalesce("tool_conflict", F.lit(False)), "conflicting_tool_definition"), if_(F.coalesce("server_conflict", F.lit(False)), "conflicting_server_tool_call"),
-    )
+    reasons = F.concat(F.col("local_reasons"), some("mount_codes"), if_(F.col("has_sub") & ~F.col("subtree_complete"), "incomplete_subagent_mount"), if_(below("child_quality_bad"), "subagent_quality_failure"), if_(F.col("is_subagent") & top, "orphan_subagent"))
     node = node.withColumn("reason_codes", F.array_sort(F.array_distinct(reasons)))
     passed = quality.strict(F.col("reason_codes"), F.col("tool_defs_tag"), F.col("tool_call_tag"), F.col("hallucinated_calls"), F.col("completeness_tag"))
     node = node.withColumn("disposition", F.when(passed, "pass").otherwise("quarantined"))
@@ -168,7 +182,7 @@ def normalize_snapshots(parsed: DataFrame) -> Normalized:
     own = F.struct("captured_at", F.col("capture_id").alias("source_ref"), F.col("sha").alias("sha256"), "disposition", "reason_codes")
     first = origins.join(root_ids, "trajectory_id").groupBy(F.col("root_id").alias("trajectory_id"), F.col("root").alias("representative"), "capture_id").agg(F.min(own).alias("o"))
     lineage = first.groupBy("trajectory_id", "representative").agg(F.array_sort(F.collect_list("o")).alias("origins")).withColumn("origin_count", F.size("origins"))
-    drop = ("tokens", "history", "response", "signature", "scope", "n_history", "wire_complete", "operation", "outcome", "provider")
+    drop = ("local_subtree", "has_sub", "local_reasons", "child_defs_bad", "child_calls_bad", "child_quality_bad", "tokens", "history", "response", "signature", "scope", "n_history", "wire_complete", "operation", "outcome", "provider")
     return Normalized(settled(unique.drop(*drop)), messages, settled(lineage), edges, settled(quarantine), kept)
 
 

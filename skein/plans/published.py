@@ -73,7 +73,7 @@ def _plain(nodes: DataFrame) -> DataFrame:
     )
     completeness = members(
         ("is_subagent", flag(c("is_subagent"))), ("spawn_calls", number(c("spawn_calls"))), ("mounted_subs", number(c("mounted_subs"))), ("subtree_complete", flag(c("subtree_complete") & ~c("is_subagent"))),
-        ("unkeyed_mounts", F.lit("0")), ("relay_mounts", F.lit("0")), ("trailing_unanswered_call", flag(c("trailing_unanswered_call"))), ("no_final_assistant_turn", flag(~c("has_final_turn"))),
+        ("unkeyed_mounts", number(c("unkeyed_mounts"))), ("relay_mounts", F.lit("0")), ("trailing_unanswered_call", flag(c("trailing_unanswered_call"))), ("no_final_assistant_turn", flag(~c("has_final_turn"))),
     )
     fields = [
         ("tools", array(F.transform("tools", tool))), *[(k, text(c(k))) for k in ("instructions", "termination", "harness", "model")], ("source", text(names.source_file(c("source_path")))),

@@ -86,6 +86,18 @@ def test_mounts(run):
     assert parent["completeness_tag"] == "complete_main_with_complete_sub" and parent["children"] == ["a/10.json"] and parent["disposition"] == "pass"
 
 
+def test_rollup(spark, tmp_path):
+    bad = CHILD | {"response_body": {"status": "completed", "model": "o", "output": [{"type": "function_call", "call_id": "z", "name": "nothing", "arguments": "{}"}]}}
+    for k, c in enumerate([*PARENT, bad]):
+        (tmp_path / f"{k}.json").write_text(json.dumps(c))
+    made = normalize(spark, str(tmp_path), "freerouter", str(tmp_path / "work"))
+    rows = {r["source_path"]: r for r in made.trajectories.collect()}
+    assert rows["2.json"]["tool_defs_tag"] == "incomplete" and rows["2.json"]["parent_id"] == "1.json"
+    parent = rows["1.json"]
+    assert parent["tool_defs_tag"] == "complete_with_incomplete_sub" and parent["tool_call_tag"] == "consistent_with_inconsistent_sub"
+    assert "subagent_quality_failure" in parent["reason_codes"] and parent["disposition"] == "quarantined" and parent["completeness_tag"] == "complete_main_with_complete_sub"
+
+
 def test_publish_validate_inspect(spark, run, tmp_path):
     out = str(tmp_path / "out")
     manifest = sinks.publish(spark, run, out, "in", "freerouter")
@@ -100,6 +112,7 @@ def test_publish_validate_inspect(spark, run, tmp_path):
     assert parent["metadata"]["session_id"] == "s4" and parent["tool_call_check"]["total_calls"] == 1 and "completeness" not in parent["sub_agent_trajectory"]["k1"]
     again = sinks.publish(spark, run, out, "in", "freerouter")
     assert [f["sha256"] for f in again["files"]] == [f["sha256"] for f in manifest["files"]]
+    assert sinks.rewrite_clock(spark, out)["completed_at_ms"] >= again["completed_at_ms"] and sinks.validate(spark, out) == []
     (tmp_path / "out" / "stray.jsonl").write_text("{}")
     name = manifest["files"][-1]["path"]
     (tmp_path / "out" / name).write_text("{}")
