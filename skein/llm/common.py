@@ -132,11 +132,8 @@ def slices(batch: pa.RecordBatch, column: str = "text", size: int = 4 << 20) ->
         at = to
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+``, A-Z in lower case, of all texts in order, and for each text the place of its first one (with the end last)."""
-    data, offsets = buffers(texts)
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes and ends of the words ``[^\\x20\\x09-\\x0D]+`` of all texts, whose bytes are ``data``."""
     full = ~_SPACE[data]
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
@@ -144,7 +141,19 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     start[1:] &= ~full[:-1] | first[1:-1]
     end = full.copy()
     end[:-1] &= ~full[1:] | first[1:-1]
-    starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
+    return np.flatnonzero(start), np.flatnonzero(end) + 1
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    return _LOWER[data]
+
+
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+``, A-Z in lower case, of all texts in order, and for each text the place of its first one (with the end last)."""
+    data, offsets = buffers(texts)
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+    starts, ends = spans(data, offsets)
     hashes = np.empty(len(starts), np.uint64)
     for k in range(0, len(starts), WORDS_AT_ONCE):
         s, e = starts[k : k + WORDS_AT_ONCE], ends[k : k + WORDS_AT_ONCE]

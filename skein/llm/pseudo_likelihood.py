@@ -9,10 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import columns, slices, stored, table, words
-
-#: Words with a token of their own, tokens that all other words share by hash, units of the hidden layer, training steps.
-FREQUENT, SHARED, HIDDEN, STEPS = 80, 16, 64, 200
+from .common import buffers, columns, lowered, slices, spans, stored, table, words
+
+#: Tokens that rare words share by hash, units of the hidden layer, steps of training that a small corpus gets at least.
+SHARED, HIDDEN, STEPS = 16, 16, 64
+#: Count from which a word has a token of its own; in large corpora that is the root of their words over ROOT.
+LEAST, ROOT = 5, 100
+#: Tokens of a step, parts of the corpus between which models are averaged, sweeps over a part at most.
+BATCH, ROUNDS, SWEEPS = 1 << 17, 2, 8
 HASHES_AT_ONCE = 1_000_000
 
 
@@ -107,6 +111,189 @@ def train(counts: np.ndarray, hidden: int = HIDDEN, steps: int = STEPS, rate: fl
     return forward()[1]
 
 
+class Network:
+    """A window network whose softmax is a tree of three levels: a token's probability is that of its branch of
+    ``branches``, of the twig in it and of the token in that, so a step costs the cube root of the vocabulary.
+
+    ``par`` has a row for each left word, right word and node, the bias of a node in its last column.
+    """
+
+    def __init__(self, size: int, par: np.ndarray):
+        self.size, self.par = size, par
+        self.branches = branches(size)
+        first = 2 * (size + 1)
+        self.levels = [(first, self.branches**2), (first + self.branches, self.branches), (first + self.branches + self.branches**2, 1)]
+        self.moved = np.zeros(len(par), np.float32)
+
+    def step(self, rows, slope: np.ndarray, rate: float) -> None:
+        self.moved[rows] += (slope * slope).mean(axis=1)
+        self.par[rows] -= rate * slope / np.sqrt(self.moved[rows] + 1)[:, None]
+
+    def walk(self, left: np.ndarray, right: np.ndarray, ids: np.ndarray, rate: float = 0.0) -> np.ndarray:
+        """Log-probability of each token in its window; with a ``rate``, an Adagrad step is taken on their sum."""
+        order = np.argsort(ids, kind="stable")
+        left, right, own = left[order], right[order] + self.size + 1, ids[order]
+        x = np.tanh(self.par[left] + self.par[right])
+        x[:, -1] = 1
+        said, slopes = np.zeros(len(own)), np.zeros_like(x)
+        for first, below in self.levels:
+            node = own // below
+            group = node // self.branches
+            starts = np.flatnonzero(np.diff(group, prepend=-1))
+            for a, b in zip(starts, [*starts[1:], len(own)], strict=True):
+                at = first + group[a] * self.branches
+                w, k, row = self.par[at : at + self.branches], node[a:b] - group[a] * self.branches, np.arange(b - a)
+                z = x[a:b] @ w.T
+                z -= z.max(axis=1, keepdims=True)
+                e = np.exp(z)
+                total = e.sum(axis=1)
+                said[a:b] += z[row, k] - np.log(total)
+                if rate:
+                    e /= total[:, None]
+                    e[row, k] -= 1
+                    slopes[a:b] += e @ w
+                    self.step(slice(at, at + self.branches), e.T @ x[a:b], rate)
+        if rate:
+            slopes *= 1 - x * x  # the last column is that of the bias: 0
+            for side in (left, right):
+                by = np.argsort(side, kind="stable")
+                at = np.flatnonzero(np.diff(side[by], prepend=-1))
+                self.step(side[by][at], np.add.reduceat(slopes[by], at), rate)
+        out = np.empty_like(said)
+        out[order] = said
+        return out
+
+
+def branches(size: int) -> int:
+    n = 1
+    while n**3 < size:
+        n += 1
+    return n
+
+
+def untrained(counts: np.ndarray, hidden: int = HIDDEN, seed: int = 7) -> np.ndarray:
+    """Rows of a network that gives every token its share of the corpus, whatever its window."""
+    size, n = len(counts), branches(len(counts))
+    mass = np.zeros(n**3)
+    mass[:size] = counts + 0.5
+    bias = np.concatenate([np.log(np.maximum(mass.reshape(-1, w).sum(axis=1), 1e-9)) for w in (n * n, n, 1)])
+    par = np.random.default_rng(seed).normal(0, 0.1, (2 * (size + 1) + len(bias), hidden + 1)).astype(np.float32)
+    par[:, -1] = 0
+    par[2 * (size + 1) :, -1] = bias
+    return par
+
+
+def _sides(cells: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    both, ids = np.divmod(cells, size)
+    return *np.divmod(both, size + 1), ids
+
+
+def _train_part(known, shared: int, par, sweeps: int, rate: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = len(known.value) + shared
+        net = Network(size, par.value.copy())
+        for batch in (x for whole in batches for x in slices(whole)):
+            cells = windows(*tokens(batch.column("text"), known.value, shared), size)
+            for _ in range(sweeps):
+                for k in range(0, len(cells), BATCH):
+                    net.walk(*_sides(cells[k : k + BATCH], size), rate)
+        rows = np.flatnonzero(net.moved)
+        for k in range(0, len(rows), BATCH):
+            at = rows[k : k + BATCH]
+            moved = (net.par[at] - par.value[at]) * net.moved[at, None]
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(net.moved[at]), *(pa.array(np.ascontiguousarray(c)) for c in moved.T)], ["row", "w", *(f"y{j}" for j in range(moved.shape[1]))])
+
+    return run
+
+
+def train_parts(texts: DataFrame, known: np.ndarray, counts: np.ndarray, hidden: int = HIDDEN, steps: int = STEPS, rate: float = 0.1) -> np.ndarray:
+    """Rows of a :class:`Network` trained on every window of ``texts(text)``: each task takes mini-batch steps on its
+    texts, and what it moved is averaged row by row, weighted by its squared slopes, after each of ROUNDS parts."""
+    spark, par = texts.sparkSession, untrained(counts, hidden)
+    sweeps = int(min(SWEEPS, max(1, -(-steps * BATCH // max(counts.sum(), 1)))))
+    names = ["w", *(f"y{k}" for k in range(hidden + 1))]
+    words_at = spark.sparkContext.broadcast(known)
+    for part in range(ROUNDS):
+        held = spark.sparkContext.broadcast(par)
+        own = texts.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == part)
+        moved = own.mapInArrow(_train_part(words_at, len(counts) - len(known), held, sweeps, rate), "row long, " + ", ".join(f"{n} float" for n in names))
+        moved = moved.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).select("row", *[(F.col(n) / F.col("w")).cast("float").alias(n) for n in names[1:]]).toArrow()
+        at = moved.column("row").to_numpy()
+        par = par.copy()
+        for k, n in enumerate(names[1:]):
+            par[at, k] += moved.column(n).to_numpy()
+        held.unpersist()
+    return par
+
+
+def spelt(texts: pa.Array, rare: np.ndarray) -> np.ndarray:
+    """For the words of all texts at the places ``rare``: their bytes (A-Z lowered) and a blank behind, each with the two before it."""
+    data, offsets = buffers(texts)
+    starts, ends = (x[rare] for x in spans(data, offsets))
+    n = ends - starts + 1
+    first = np.cumsum(n) - n
+    k = np.arange(n.sum()) - np.repeat(first, n)
+    own = lowered(data)[np.minimum(np.repeat(starts, n) + k, max(len(data) - 1, 0))].astype(np.int64)
+    own[first + n - 1] = 32
+    one, two = np.full(len(own), 32), np.full(len(own), 32)
+    one[1:], two[2:] = own[:-1], own[:-2]
+    one[k < 1], two[k < 2] = 32, 32
+    return two << 16 | one << 8 | own
+
+
+def _spelling(known, shared: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(1 << 24, np.int32)
+        for batch in (x for whole in batches for x in slices(whole)):
+            ids, _ = tokens(batch.column("text"), known.value, shared)
+            code, n = np.unique(spelt(batch.column("text"), np.flatnonzero(ids >= len(known.value))), return_counts=True)
+            held[code] += n.astype(np.int32)
+        code = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(held[code].astype(np.int64))], ["code", "n"])
+
+    return run
+
+
+def letters(code: np.ndarray, n: np.ndarray, kept: float = 4.0) -> np.ndarray:
+    """Log-probability of each byte after any two, by counts of the three, backed by those of the last two and of the byte."""
+    three = np.zeros(1 << 24, np.float32)
+    three[code] = n
+    three = three.reshape(256, 256, 256)
+    two = three.sum(axis=0)
+    one = (two.sum(axis=0) + 1) / (two.sum() + 256)
+    two = (two + kept * one) / (two.sum(axis=1, keepdims=True) + kept)
+    three += kept * two
+    three /= three.sum(axis=2, keepdims=True)
+    return np.log(three, out=three).ravel()
+
+
+def _score_all(known, shared: int, par, letter):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = len(known.value) + shared
+        net = Network(size, par.value)
+        for batch in (x for whole in batches for x in slices(whole)):
+            ids, at = tokens(batch.column("text"), known.value, shared)
+            cells = windows(ids, at, size)
+            said = np.zeros(len(cells))
+            for k in range(0, len(cells), BATCH):
+                said[k : k + BATCH] = net.walk(*_sides(cells[k : k + BATCH], size))
+            rare = np.flatnonzero(ids >= len(known.value))
+            if len(rare):
+                code = spelt(batch.column("text"), rare)
+                ends = np.flatnonzero(code & 255 == 32)
+                sums = np.concatenate(([0.0], np.cumsum(letter.value[code], dtype=np.float64)[ends]))
+                said[rare] += np.diff(sums) + np.log(shared)
+            yield _scored(batch.column("doc_id"), np.concatenate(([0.0], np.cumsum(said))), at)
+
+    return run
+
+
+def _scored(doc_id: pa.Array, sums: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    n, said = np.diff(at), sums[at[1:]] - sums[at[:-1]]
+    mean = np.divide(said, n, out=np.zeros(len(n)), where=n > 0)
+    return pa.RecordBatch.from_arrays([doc_id, pa.array(n), pa.array(said), pa.array(mean, mask=n == 0), pa.array(np.exp(-mean), mask=n == 0)], ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood", "perplexity"])
+
+
 def _score(frequent: np.ndarray, shared: int, logp):
     size = len(frequent) + shared
 
@@ -115,35 +302,54 @@ def _score(frequent: np.ndarray, shared: int, logp):
         for batch in (x for whole in batches for x in slices(whole)):
             ids, at = tokens(batch.column("text"), frequent, shared)
             sums = np.concatenate(([0.0], np.cumsum(flat[windows(ids, at, size)], dtype=np.float64)))
-            n, said = np.diff(at), sums[at[1:]] - sums[at[:-1]]
-            mean = np.divide(said, n, out=np.zeros(len(n)), where=n > 0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(said), pa.array(mean, mask=n == 0), pa.array(np.exp(-mean), mask=n == 0)], ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood", "perplexity"])
+            yield _scored(batch.column("doc_id"), sums, at)
 
     return run
 
 
-def score_documents(docs: DataFrame, frequent: int = FREQUENT, shared: int = SHARED, hidden: int = HIDDEN, steps: int = STEPS) -> DataFrame:
+SCORES = "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double, perplexity double"
+
+
+def score_documents(docs: DataFrame, frequent: int | None = None, shared: int = SHARED, hidden: int = HIDDEN, steps: int = STEPS) -> DataFrame:
     """``(doc_id, n_tokens, log_likelihood, mean_log_likelihood, perplexity)`` for every row of ``docs(doc_id, text)``.
 
-    Tokens are words (A-Z lowered): the ``frequent`` most frequent of the corpus have one each, ties by hash; all others
-    share ``shared`` by hash. The network predicts every token of the corpus from its neighbour on either side; a
-    document's score is the sum of the log-probabilities of its tokens, each given all of its window but itself.
+    Tokens are words (A-Z lowered). Every word that occurs LEAST times, or in large corpora the root of their words over
+    ROOT, has one, so the vocabulary grows with the corpus; rarer words share ``shared`` by hash in windows, and each is
+    scored by its letters, with a model of those of all rare words. The network predicts every token of the corpus from
+    its neighbour on either side, and is trained on all windows where they are (:func:`train_parts`); a document's score
+    is the sum of the log-probabilities of its tokens, each given all of its window but itself.
+
+    With ``frequent``, only so many words have a token, others are no more than their shared one, and the network is
+    trained on the exact counts of all windows, (size + 1) ** 2 * size at most.
 
-    Word counts and window counts cover every text and meet as partial sums; the driver gets ``frequent`` hashes and at
-    most (size + 1) ** 2 * size window counts (0.9 million, whatever the corpus). Null or empty text has no tokens, a
-    sum of 0 and no mean; null ids and repeated rows pass through; an empty table gives no rows.
+    Word counts cover every text and meet as partial sums; the driver gets the words with a token and the rows of the
+    network, about three a word. Null or empty text has no tokens, a sum of 0 and no mean; null ids and repeated rows pass
+    through; an empty table gives no rows.
     """
     docs = columns(docs, doc_id="long", text="string")
     spark = docs.sparkSession
     counted = docs.select("text").mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "word").limit(frequent).collect()
-    known = np.sort(np.array([r["word"] for r in top], np.int64).view(np.uint64))
-    size = len(known) + shared
-    cells = stored(docs.select("text").mapInArrow(_window_counts(known, shared), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")), "windows").toPandas()
-    counts = np.zeros((size + 1) ** 2 * size)
-    counts[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy()
-    logp = spark.sparkContext.broadcast(train(counts.reshape(size + 1, size + 1, size), hidden, steps).ravel())
-    return docs.mapInArrow(_score(known, shared, logp), "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double, perplexity double")
+    if frequent is not None:
+        top = counted.orderBy(F.desc("n"), "word").limit(frequent).collect()
+        known = np.sort(np.array([r["word"] for r in top], np.int64).view(np.uint64))
+        size = len(known) + shared
+        cells = stored(docs.select("text").mapInArrow(_window_counts(known, shared), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")), "windows").toPandas()
+        counts = np.zeros((size + 1) ** 2 * size)
+        counts[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy()
+        logp = spark.sparkContext.broadcast(train(counts.reshape(size + 1, size + 1, size), hidden, steps).ravel())
+        return docs.mapInArrow(_score(known, shared, logp), SCORES)
+    counted = stored(counted, "words")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    own = counted.where(F.col("n") >= max(LEAST, int(total**0.5 / ROOT))).toArrow()
+    known, n = own.column("word").to_numpy().astype(np.int64).view(np.uint64), own.column("n").to_numpy().astype(float)
+    order = np.argsort(known)
+    known, n = known[order], n[order]
+    counts = np.concatenate([n, np.full(shared, (total - n.sum()) / shared)])
+    words_at = spark.sparkContext.broadcast(known)
+    three = docs.select("text").mapInArrow(_spelling(words_at, shared), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    letter = spark.sparkContext.broadcast(letters(three.column("code").to_numpy(), three.column("n").to_numpy()))
+    par = spark.sparkContext.broadcast(train_parts(docs.select("text").where("text IS NOT NULL"), known, counts, hidden, steps))
+    return docs.mapInArrow(_score_all(words_at, shared, par, letter), SCORES)
 
 
 def op4_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -205,6 +205,39 @@ def test_training_lowers_loss():
     assert np.allclose(np.exp(pseudo_likelihood.train(counts, 8, 5)).sum(axis=2), 1, atol=1e-4)
 
 
+def test_vocabulary_grows_and_rare_words_differ(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pseudo_likelihood, "train_parts", lambda t, known, counts, *a, real=pseudo_likelihood.train_parts: seen.append(len(known)) or real(t, known, counts, *a))
+    for many in (150, 600):
+        r = np.random.default_rng(many)
+        texts = [" ".join(f"word{x}" for x in r.integers(0, many, 59)) + f" seldomseenwords{k}" for k in range(many // 2)]
+        out = pseudo_likelihood.score_documents(frame(spark, [*texts, "word1 seldomseenwords word2", "word1 qzxjvkwpbfyrnch word2"]), steps=20).orderBy("doc_id").toPandas()
+        assert out["n_tokens"].tolist() == [60] * len(texts) + [3, 3]
+        assert out["log_likelihood"].iloc[-2] > out["log_likelihood"].iloc[-1] + 3
+    assert seen == [150, 600]
+
+
+def test_network_is_a_distribution_and_learns():
+    r = np.random.default_rng(0)
+    counts = r.integers(1, 30, 50).astype(float)
+    net = pseudo_likelihood.Network(50, pseudo_likelihood.untrained(counts))
+    ids = np.arange(50)
+    left, right = np.full(50, 3), np.full(50, 50)
+    assert abs(np.exp(net.walk(left, right, ids)).sum() - 1) < 1e-4
+    left, right = r.integers(0, 51, 4000), r.integers(0, 51, 4000)
+    said = (left * 7 + 3) % 50
+    losses = [-net.walk(left, right, said, 0.1).mean() for _ in range(60)]
+    assert losses[-1] < 0.5 * losses[0]
+    assert abs(np.exp(net.walk(np.full(50, 3), np.full(50, 50), ids)).sum() - 1) < 1e-4
+
+
+def test_letters_of_rare_words():
+    import pyarrow as pa
+
+    code = pseudo_likelihood.spelt(pa.array(["Ab the c", "d"]), np.array([0, 2, 3]))
+    assert [chr(c >> 16) + chr(c >> 8 & 255) + chr(c & 255) for c in code.tolist()] == ["  a", " ab", "ab ", "  c", " c ", "  d", " d "]
+
+
 def test_word_hashes():
     import pyarrow as pa
 
