@@ -23,6 +23,8 @@ PART, WHOLE, ANSWER = 0.6, 0.8, 0.5
 ANSWER_WORDS = 8
 #: Items that one pass over the documents looks for.
 ITEMS_AT_ONCE = 1024
+#: Hits among an item's rarest words from which a passage is looked at, whatever its cosine.
+SURE = 4
 ROWS_AT_ONCE, STEPS_AT_ONCE = 512, 1 << 13
 
 
@@ -129,7 +131,8 @@ class Benchmark:
         hashes, at = words(pa.array(texts, pa.string()))
         self.ids = [i for i, a, b in zip(ids, at[:-1], at[1:], strict=True) if b > a]
         self.words = [hashes[a:b] for a, b in zip(at[:-1], at[1:], strict=True) if b > a]
-        self.space = space
+        self.space, self.idf = space, idf
+        self.listed = [own.tolist() for own in self.words]
         #: what each term of an item adds to its share of weight; the last column is that of a filler
         self.weight = np.zeros((len(self.words), TERMS + 1), np.float32)
         for row, own in zip(self.weight, self.words, strict=True):
@@ -171,11 +174,76 @@ class Benchmark:
                 item, a = item[keep], a[keep]
                 yield item, text[a], starts[a], np.minimum(steps * STEP, at[text[a] + 1] - starts[a]), near_by[keep]
 
+    def _rarest(self, part: float) -> tuple[np.ndarray, ...]:
+        """Words, ascending, that are among the rarest of an item, where the items of each begin, the items, and the hits that an item needs."""
+        word, item, least = [], [], np.zeros(len(self.words), np.int64)
+        for k, own in enumerate(self.words):
+            need = max(int(np.ceil(part * len(own) - 1e-9)), 1)
+            least[k] = min(SURE, need)
+            own = own[np.argsort(-self.idf[term(own)], kind="stable")][: len(own) - need + least[k]]
+            word.append(np.unique(own))
+            item.append(np.full(len(word[-1]), k))
+        word, item = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((word, np.uint64), (item, np.int64)))
+        order = np.argsort(word, kind="stable")
+        found, first = np.unique(word[order], return_index=True)
+        return found, np.append(first, len(word)), item[order], least
+
+    def holding(self, hashes: np.ndarray, at: np.ndarray, part: float) -> Iterator[tuple[int, int, int, int, float]]:
+        """Item, text, first word, number of words and cosine of every passage that, with a step on either side, holds
+        ``part`` of an item's words: it lacks at most the rest, so of as many of the item's rarest words and SURE more
+        it holds SURE. No passage that the checks could confirm fails this."""
+        found, ends, items, least = self._rarest(part)
+        if not len(found) or not len(hashes):
+            return
+        near = np.minimum(np.searchsorted(found, hashes), len(found) - 1)
+        place = np.flatnonzero(found[near] == hashes)
+        near = near[place]
+        many = ends[near + 1] - ends[near]
+        item = items[np.repeat(ends[near] - np.cumsum(many) + many, many) + np.arange(many.sum())]
+        text = np.searchsorted(at, place, "right") - 1
+        n = -(-np.diff(at) // STEP)
+        first = np.cumsum(n) - n
+        starts = parts(at, STEP)
+        step = np.repeat(first[text] + (place - at[text]) // STEP, many)
+        text = np.repeat(text, many)
+        steps = np.array([-(-(len(w) + STEP - 1) // STEP) for w in self.words])
+        order = np.lexsort((step, text, item))
+        item, text, step = item[order], text[order], step[order]
+        # hits from one step to those that the longest passage with its two outer steps still covers
+        wide = len(starts) + steps.max() + 3
+        key = (item * len(n) + text) * wide + (step - first[text])
+        # a word that an item has once may hit many times, so hits are an upper bound of the words held
+        ahead = np.searchsorted(key, key + steps[item] + 2) - np.arange(len(key))
+        good = np.flatnonzero(ahead >= least[item])
+        good = good[np.flatnonzero(np.diff(key[good], prepend=-1))]
+        done: set[tuple[int, int, int]] = set()
+        for k in good.tolist():
+            i, t, s = int(item[k]), int(text[k]), int(step[k])
+            own = self.words[i]
+            need = int(np.ceil(part * len(own) - 1e-9))
+            low, high = max(s - int(steps[i]) - 1, int(first[t])), min(s + 2 * int(steps[i]) + 2, int(first[t] + n[t]))
+            around = set(hashes[starts[low] : starts[high - 1] + STEP].tolist())
+            if sum(w in around for w in self.listed[i]) < need:
+                continue
+            # passages whose outer steps begin at this hit, or earlier with it as their first hit
+            for b in range(max(s - int(steps[i]), int(first[t])), min(s + 1, int(first[t] + n[t]) - 1) + 1):
+                if (i, t, b) in done:
+                    continue
+                done.add((i, t, b))
+                a = int(starts[b])
+                size = int(min(steps[i] * STEP, at[t + 1] - a))
+                other = hashes[max(a - STEP, at[t]) : min(a + size + STEP, at[t + 1])]
+                if np.isin(own, other).sum() >= need:
+                    x = self.space[term(hashes[a : a + size])].sum(axis=0)
+                    y = self.space[term(own)].sum(axis=0)
+                    yield i, t, a, size, float(x @ y / max(np.linalg.norm(x) * np.linalg.norm(y), 1e-12))
+
     def leaks(self, hashes: np.ndarray, at: np.ndarray, cosine: float = COSINE, weight: float = WEIGHT, part: float = PART, whole: float = WHOLE, answer: float = ANSWER) -> list[tuple[int, float, int, float]]:
         """``(text, share, item, cosine)`` of the candidates that the checks confirm."""
         out = []
-        for found in self.candidates(hashes, at, cosine, weight):
-            for item, text, start, n, near in zip(*(x.tolist() for x in found), strict=True):
+        near_by = (row for found in self.candidates(hashes, at, cosine, weight) for row in zip(*(x.tolist() for x in found), strict=True))
+        for rows in (near_by, self.holding(hashes, at, min(part, whole))):
+            for item, text, start, n, near in rows:
                 own = self.words[item].tolist()
                 other = hashes[max(start - STEP, at[text]) : min(start + n + STEP, at[text + 1])].tolist()
                 share = common_subsequence(own, other) / len(own)
@@ -218,7 +286,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, we
     The latent space is that of a randomised singular value decomposition of the TF-IDF matrix of all passages of 32
     words (A-Z lowered, terms hashed), from sums over every text. For each of ``benchmark(item_id, text)``, the passages
     just long enough to hold it, at every eighth word, are candidates from a cosine of ``cosine`` on if they hold terms of
-    ``weight`` of the item's TF-IDF weight. A candidate with the eight words on either side is a leak if a common subsequence has ``whole`` of the item's words, or ``part`` of them and
+    ``weight`` of the item's TF-IDF weight; and, whatever these say, so is every one that with the eight words on either side
+    holds the least of ``part`` and ``whole`` of the item's words, which is found exactly from its rarest ones. A candidate with the eight words on either side is a leak if a common subsequence has ``whole`` of the item's words, or ``part`` of them and
     ``answer`` of the item's last eight, where its answer stands. ``item_id`` is that of the largest share, ties to the least.
 
     Null or empty text has no passage and null or empty items have no leak; null doc ids and repeated rows pass through; of

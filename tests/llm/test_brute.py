@@ -360,6 +360,44 @@ def test_leaks_on_given_data(spark):
     assert exact <= found and len(found - exact) <= 2
 
 
+def rewritten(share, seed, n=120):
+    """Texts of sf0.01 with a benchmark item put in, ``share`` of its words kept (the last eight among them), others replaced by words of the host."""
+    import pyarrow as pa
+
+    r = np.random.default_rng(seed)
+    docs, bench = (pd.read_parquet(f"/root/testdata/sf0.01/{t}.parquet")["text"] for t in ("documents", "benchmark"))
+    batch = pa.RecordBatch.from_arrays([pa.array(docs)], ["text"])
+    total = next(leaks._gram([batch])).to_pandas()
+    space, idf = leaks.latent(total["n"].to_numpy(), int(total["passages"].max()), total.filter(like="y").to_numpy())
+    hosts = [t.split() for t in docs if t and 80 < len(t.split()) < 600]
+    texts = []
+    for k in range(n):
+        host, item = list(hosts[int(r.integers(len(hosts)))]), bench[k % len(bench)].split()
+        for j in r.choice(max(len(item) - 8, 1), min(int(len(item) * (1 - share)), len(item) - 8), replace=False):
+            item[j] = host[int(r.integers(len(host)))]
+        at = int(r.integers(len(host)))
+        host[at:at] = item
+        texts.append(" ".join(host))
+    return leaks.Benchmark(list(range(len(bench))), bench.tolist(), space, idf), common.words(pa.array(texts))
+
+
+@pytest.mark.parametrize("share", [0.8, 0.7, 0.62])
+def test_no_confirmed_leak_is_missed(share):
+    items, (hashes, at) = rewritten(share, 5)
+    found = {(t, i) for t, _, i, _ in items.leaks(hashes, at)}
+    confirmed = set()
+    for t in range(len(at) - 1):
+        i = t % len(items.words)
+        own = items.words[i].tolist()
+        size = -(-(len(own) + leaks.STEP - 1) // leaks.STEP) * leaks.STEP
+        for a in range(at[t], at[t + 1], leaks.STEP):
+            other = hashes[max(a - leaks.STEP, at[t]) : min(a + size + leaks.STEP, at[t + 1])].tolist()
+            same = leaks.common_subsequence(own, other) / len(own)
+            if same >= leaks.WHOLE or same >= leaks.PART and leaks.common_subsequence(own[-8:], other) >= 4:
+                confirmed.add((t, i))
+    assert len(confirmed) > 60 and confirmed <= found, (len(confirmed), len(confirmed - found))
+
+
 def test_latent_is_the_svd():
     r = np.random.default_rng(4)
     counts = np.zeros((300, leaks.TERMS))
