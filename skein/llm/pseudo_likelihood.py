@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .common import buffers, columns, lowered, slices, spans, stored, table, words
 
 #: Tokens that rare words share by hash, units of the hidden layer, steps of training that a small corpus gets at least.
-SHARED, HIDDEN, STEPS = 16, 16, 64
+SHARED, HIDDEN, STEPS = 16, 64, 200
 #: Count from which a word has a token of its own; in large corpora that is the root of their words over ROOT.
 LEAST, ROOT = 5, 100
 #: Tokens of a step, parts of the corpus between which models are averaged, sweeps over a part at most.
