@@ -3,42 +3,53 @@
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import columns, slices, stored, table
+from .neighbours import Tree
 
 WINDOW, END = 2048, 1
-#: Rows of a shard, on average; terms of a seed that ask the index, the rarest first.
-SHARD_ROWS, QUERY_TERMS = 1024, 48
+#: Rows and bytes of a shard at most.
+SHARD_ROWS, SHARD_BYTES = 1024, 32 << 20
 K1, B = 1.2, 0.75
+#: Dimensions of the sketch by which rows of like content come to one shard, rows to which its tree is fitted and those of
+#: them in a cell at least, and bits that order the rows of a cell.
+SKETCH, SAMPLE, SAMPLE_CELL, BITS = 16, 16_384, 16, 62
+#: A run of white space this long is more than the regular expressions of ``tiktoken`` stand.
+LONG_BLANK = re.compile(r"\s{50000}")
 
 
 @lru_cache(maxsize=2)
 def _encoder(path: str):
     """The tokenizer of a vocabulary file. For a byte-level BPE of the ``tokenizers`` library that has its ranks
-    beside it, the same ids come from ``tiktoken``, which takes a quarter of the time."""
-    ranks = path.removesuffix(".json") + ".tiktoken"
+    beside it, the same ids come from ``tiktoken``, which takes a quarter of the time; texts that it can't bear go to
+    ``tokenizers`` itself."""
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(path)
+    own.encode_special_tokens = True
+
+    def plain(text: str) -> list[int]:
+        return own.encode(text, add_special_tokens=False).ids
+
     try:
         import public_tokenizers
         import tiktoken
 
-        with open(ranks, "rb") as f:
+        with open(path.removesuffix(".json") + ".tiktoken", "rb") as f:
             found = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        return tiktoken.Encoding("byte level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=found, special_tokens={}).encode_ordinary
-    except FileNotFoundError:
-        from tokenizers import Tokenizer
-
-        own = Tokenizer.from_file(path)
-        own.encode_special_tokens = True
-        return lambda text: own.encode(text, add_special_tokens=False).ids
+    except (FileNotFoundError, ImportError):
+        return plain
+    fast = tiktoken.Encoding("byte level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=found, special_tokens={}).encode_ordinary
+    return lambda text: plain(text) if len(text) >= 50_000 and LONG_BLANK.search(text) else fast(text)
 
 
 def vocabulary() -> str:
@@ -48,30 +59,39 @@ def vocabulary() -> str:
 
 
 def _tokenized(path: str, window: int, end: int):
-    names = ["doc_id", "doc_tokens", "full", "tail"]
+    names = ["doc_id", "doc_tokens", "full", "tail", "terms"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(path)
         for batch in (x for whole in batches for x in slices(whole)):
-            n, full, tail = [], [], []
+            n, full, tail, terms = [], [], [], []
             for text in batch.column("text"):
                 ids = np.array([*encode(text.as_py() or ""), end], "<u4")
                 cut = len(ids) // window * window
                 n.append(len(ids))
                 full.append([zlib.crc32(ids[a : a + window].tobytes()) for a in range(0, cut, window)])
                 tail.append(ids[cut:].tobytes())
-            types = (pa.int64(), pa.list_(pa.int64()), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, t) for x, t in zip((n, full, tail), types, strict=True))], names)
+                terms.append(np.concatenate(np.unique(ids, return_counts=True)).astype("<u4").tobytes() if cut else None)
+            types = (pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, t) for x, t in zip((n, full, tail, terms), types, strict=True))], names)
 
     return run
 
 
+def counted(tail: bytes, terms: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """The different tokens of a whole document, ascending, and how often each occurs; a document without full windows is its tail."""
+    if terms is None:
+        return np.unique(np.frombuffer(tail, "<u4"), return_counts=True)
+    both = np.frombuffer(terms, "<u4")
+    return both[: len(both) // 2], both[len(both) // 2 :]
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many tails each token occurs; the ids of a vocabulary bound what is held."""
+    """In how many documents each token occurs; the ids of a vocabulary bound what is held."""
     held = np.zeros(0, np.int64)
     for batch in batches:
-        for tail in batch.column("tail").to_pylist():
-            own = np.unique(np.frombuffer(tail, "<u4"))
+        for tail, terms in zip(batch.column("tail").to_pylist(), batch.column("terms").to_pylist(), strict=True):
+            own = counted(tail, terms)[0]
             if len(own) and own[-1] >= len(held):
                 held = np.concatenate([held, np.zeros(int(own[-1]) + 1 - len(held), np.int64)])
             held[own] += 1
@@ -79,37 +99,71 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], ["token", "n"])
 
 
+def weights(count: np.ndarray, length, mean: float) -> np.ndarray:
+    """What BM25 gives for a token that a document of ``length`` tokens holds ``count`` times, but for the token's idf."""
+    return count * (K1 + 1) / (count + K1 * (1 - B + B * length / max(mean, 1)))
+
+
+def _sketches(idf: np.ndarray, mean: float):
+    """The rows with ``sketch``: their BM25 weights, projected to SKETCH dimensions, as a unit vector."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        axes = np.random.default_rng(7).normal(size=(len(idf), SKETCH)).astype(np.float32)
+        for batch in batches:
+            out = np.zeros((len(batch), SKETCH))
+            for k, (tail, terms, n) in enumerate(zip(batch.column("tail").to_pylist(), batch.column("terms").to_pylist(), batch.column("doc_tokens").to_pylist(), strict=True)):
+                ids, count = counted(tail, terms)
+                out[k] = (idf[ids] * weights(count, n, mean)) @ axes[ids]
+            out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.FixedSizeListArray.from_arrays(pa.array(out.ravel()), SKETCH).cast(pa.list_(pa.float64()))], ["row", "sketch"])
+
+    return run
+
+
+def _placed(idf: np.ndarray, mean: float, tree):
+    """The rows with their cell and the bits of their sketch, by which like ones come to stand together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes = np.random.default_rng(8).normal(size=(SKETCH, BITS))
+        for batch in batches:
+            points = next(_sketches(idf, mean)([batch])).column("sketch").flatten().to_numpy().reshape(-1, SKETCH)
+            bits = (points @ planes > 0) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tree.value.place(points)), pa.array(bits)], [*batch.schema.names, "cell", "bits"])
+
+    return run
+
+
 class Index:
-    """A BM25 inverted index over the tails of one shard: postings by token, with the weight that each adds."""
-
-    def __init__(self, tails: list[np.ndarray], idf: np.ndarray, mean: float):
-        counted = [np.unique(t, return_counts=True) for t in tails]
-        row = np.repeat(np.arange(len(tails)), [len(c[0]) for c in counted])
-        token = np.concatenate([c[0] for c in counted]).astype(np.int64)
-        count = np.concatenate([c[1] for c in counted])
-        length = np.array([len(t) for t in tails])[row]
-        weight = idf[token] * count * (K1 + 1) / (count + K1 * (1 - B + B * length / max(mean, 1)))
+    """A BM25 inverted index over the documents of one shard: postings by token, with the weight that each adds."""
+
+    def __init__(self, terms: list[tuple[np.ndarray, np.ndarray]], lengths: list[int], idf: np.ndarray, mean: float):
+        row = np.repeat(np.arange(len(terms)), [len(c[0]) for c in terms])
+        token = np.concatenate([c[0] for c in terms]).astype(np.int64)
+        weight = idf[token] * weights(np.concatenate([c[1] for c in terms]), np.array(lengths)[row], mean)
         order = np.argsort(token, kind="stable")
         self.rows, self.weights = row[order], weight[order]
-        self.starts = np.searchsorted(token[order], np.arange(len(idf) + 1))
-        self.terms = [c[0][np.argsort(-idf[c[0]], kind="stable")[:QUERY_TERMS]] for c in counted]
-        self.size = len(tails)
+        known, first = np.unique(token[order], return_index=True)
+        ends = np.append(first, len(token))
+        self.spans = [[slice(ends[k], ends[k + 1]) for k in np.searchsorted(known, c[0])] for c in terms]
+        self.size = len(terms)
 
     def scores(self, row: int) -> np.ndarray:
-        spans = [slice(self.starts[t], self.starts[t + 1]) for t in self.terms[row]]
+        """BM25 of all documents for all different tokens of one of them."""
+        spans = self.spans[row]
         return np.bincount(np.concatenate([self.rows[s] for s in spans]), np.concatenate([self.weights[s] for s in spans]), self.size)
 
 
-def fill(tails: list[np.ndarray], idf: np.ndarray, mean: float, window: int = WINDOW) -> list[list[tuple[int, int, int]]]:
+def fill(tails: list[np.ndarray], idf: np.ndarray, mean: float, window: int = WINDOW, terms: list[tuple[np.ndarray, np.ndarray]] | None = None, lengths: list[int] | None = None) -> list[list[tuple[int, int, int]]]:
     """Windows of ``(row, start, length)`` pieces that hold every token of ``tails`` once.
 
     The first row with tokens left is the seed of a window. Rows with tokens left are taken by their BM25 score for the
     seed, best first, ties to the first row, until the window is full; the last one is cut, and what is left of it
-    stays to be found by later seeds. So every window but the last is full.
+    stays to be found by later seeds. So every window but the last is full. ``terms`` and ``lengths`` are those of the whole
+    documents whose last parts the tails are; without them a tail is a document.
     """
     left = np.array([len(t) for t in tails])
     taken = np.zeros(len(tails), np.int64)
-    index = Index(tails, idf, mean)
+    index = Index(terms or [np.unique(t, return_counts=True) for t in tails], lengths or left.tolist(), idf, mean)
     out = []
     for seed in range(len(tails)):
         while left[seed]:
@@ -144,58 +198,87 @@ def fill(tails: list[np.ndarray], idf: np.ndarray, mean: float, window: int = WI
     return out
 
 
-def _packed(idf: np.ndarray, mean: float, window: int):
+def _packed(idf: np.ndarray, mean: float, window: int, shard_rows: int):
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    types = [pa.int64()] * len(names)
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["doc_id", "doc_tokens", "tail"], na_position="last", kind="stable")
-        base = int(rows["shard"].iloc[0]) << 32
-        ids, totals = rows["doc_id"].tolist(), rows["doc_tokens"].tolist()
-        out, number = [], 0
-        for doc_id, total, full in zip(ids, totals, rows["full"], strict=True):
-            for k, crc in enumerate(full):
-                out.append((doc_id, k * window, window, int(crc), total, base + number, 0))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 36
+        held: list[dict] = []
+        size = 0
+
+        def shard() -> pa.RecordBatch:
+            nonlocal number
+            out = []
+            for r in held:
+                for k, crc in enumerate(r["full"]):
+                    out.append((r["doc_id"], k * window, window, crc, r["doc_tokens"], number, 0))
+                    number += 1
+            tails = [np.frombuffer(r["tail"], "<u4") for r in held]
+            for pieces in fill(tails, idf, mean, window, [counted(r["tail"], r["terms"]) for r in held], [r["doc_tokens"] for r in held]):
+                at = 0
+                for row, start, n in pieces:
+                    r = held[row]
+                    out.append((r["doc_id"], r["doc_tokens"] - len(tails[row]) + start, n, zlib.crc32(tails[row][start : start + n].tobytes()), r["doc_tokens"], number, at))
+                    at += n
                 number += 1
-        tails = [np.frombuffer(t, "<u4") for t in rows["tail"]]
-        for pieces in fill(tails, idf, mean, window) if tails else []:
-            at = 0
-            for row, start, n in pieces:
-                crc = zlib.crc32(tails[row][start : start + n].tobytes())
-                out.append((ids[row], totals[row] - len(tails[row]) + start, n, crc, totals[row], base + number, at))
-                at += n
-            number += 1
-        found = pd.DataFrame(out, columns=names)
-        found["doc_id"] = found["doc_id"].astype("Int64")
-        return found
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], names)
+
+        for batch in batches:
+            for r in batch.select(["doc_id", "doc_tokens", "full", "tail", "terms"]).to_pylist():
+                held.append(r)
+                size += len(r["tail"]) + len(r["terms"] or b"")
+                if len(held) >= shard_rows or size >= SHARD_BYTES:
+                    yield shard()
+                    held, size = [], 0
+        if held:
+            yield shard()
 
     return run
 
 
+def dealt(docs: DataFrame, path: str | None = None, window: int = WINDOW, end: int = END, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, np.ndarray, float]:
+    """The rows as tokens, in an order in which those of like content stand together, the idf of each token and the mean
+    length: what shards are cut from."""
+    spark = docs.sparkSession
+    docs = columns(docs, doc_id="long", text="string")
+    rows = docs.mapInArrow(_tokenized(path or vocabulary(), window, end), "doc_id long, doc_tokens long, full array<long>, tail binary, terms binary")
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "tokens")
+    shape = rows.agg(F.count("*").alias("n"), F.avg("doc_tokens").alias("mean")).first()
+    found = rows.select("tail", "terms").mapInArrow(_frequencies, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
+    n, mean = shape["n"], shape["mean"] or 0.0
+    seen = np.zeros(int(found["token"].max()) + 1 if len(found) else 1)
+    seen[found["token"].to_numpy(np.int64)] = found["n"].to_numpy()
+    idf = np.log1p((n - seen + 0.5) / (seen + 0.5))
+    sample = np.zeros((0, SKETCH))
+    if n > shard_rows:
+        some = rows.where(F.pmod(F.xxhash64("row"), F.lit(1 << 40)) < int(min(1.0, SAMPLE / n) * (1 << 40)))
+        sample = some.select("row", "tail", "terms", "doc_tokens").mapInArrow(_sketches(idf, mean), "row long, sketch array<double>").toPandas().sort_values("row")
+        sample = np.stack(sample["sketch"].to_list()) if len(sample) else np.zeros((0, SKETCH))
+    tree = spark.sparkContext.broadcast(Tree(sample, min(-(-n // shard_rows), len(sample) // SAMPLE_CELL)))
+    placed = rows.mapInArrow(_placed(idf, mean, tree), rows.schema.simpleString()[7:-1].replace(":", " ") + ", cell long, bits long")
+    order = ["cell", "bits", "row"]
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order), idf, mean
+
+
 def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end: int = END, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)``: the pieces of all rows of
     ``docs(doc_id, text)``, in sequences of ``window`` tokens.
 
-    A document is its tokens, then ``end``. Its full windows are sequences of their own; its tail goes to a shard,
-    by a hash of its id and text, where it is indexed. Shards have ``shard_rows`` rows on average, so an index is small
-    and any number of them are filled at once; document frequencies are those of the whole corpus. In a shard,
-    :func:`fill` has unused neighbours fill each seed's window. All sequences but one a shard are full.
+    A document is its tokens, then ``end``. Its full windows are sequences of their own; its tail is packed with others. The
+    BM25 index holds the tokens of whole documents, a seed asks with all of its own, and document frequencies and the mean
+    length are those of the corpus. The index is cut into shards of at most ``shard_rows`` rows: rows are sorted by
+    content (the cell of a kd-tree over sketches of their BM25 weights, fitted to some SAMPLE of them, then the bits of their
+    sketch), so a seed's neighbours stand in its shard, and copies, however many, fill as many shards as they need. In
+    a shard, :func:`fill` has unused neighbours fill each seed's window. All sequences but one a shard are full.
 
     Null text counts as empty (one token); null ids pass through; rows that repeat are packed one by one; an empty
-    table gives no rows. The driver gets the document frequencies, a number for each id of the vocabulary.
+    table gives no rows. The driver gets the document frequencies, a number for each id of the vocabulary, and the sample.
     """
-    spark = docs.sparkSession
-    docs = columns(docs, doc_id="long", text="string")
-    rows = stored(docs.mapInArrow(_tokenized(path or vocabulary(), window, end), "doc_id long, doc_tokens long, full array<long>, tail binary"), "tokens")
-    shape = rows.agg(F.count("*").alias("n"), F.sum(F.length("tail")).alias("bytes")).first()
-    counted = rows.select("tail").mapInArrow(_frequencies, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
-    n = shape["n"]
-    seen = np.zeros(int(counted["token"].max()) + 1 if len(counted) else 1)
-    seen[counted["token"].to_numpy(np.int64)] = counted["n"].to_numpy()
-    idf = np.log1p((n - seen + 0.5) / (seen + 0.5))
-    shards = max(1, -(-n // shard_rows))
-    shard = F.pmod(F.xxhash64("doc_id", "doc_tokens", "tail"), F.lit(shards))
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return rows.withColumn("shard", shard).groupBy("shard").applyInPandas(_packed(idf, (shape["bytes"] or 0) / 4 / max(n, 1), window), schema)
+    rows, idf, mean = dealt(docs, path, window, end, shard_rows)
+    return rows.mapInArrow(_packed(idf, mean, window, shard_rows), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
