@@ -3,26 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import carried, carry, columns, mix, slices, stored, table, words
+from .common import carried, carry, columns, mix, slices, table, words
 
 #: Hashed terms, dimensions of the latent space, further random directions, words of a passage that the space is fitted to, words of a step.
 TERMS, RANK, MORE, PASSAGE, STEP = 4096, 48, 16, 32, 8
 #: Share of the passages from which a term counts as common and says next to nothing.
 COMMON = 0.02
 #: Cosine in the latent space, then share of an item's TF-IDF weight on terms that the passage holds, from which it is a candidate.
-COSINE, WEIGHT = 0.45, 0.45
+COSINE, WEIGHT = 0.7, 0.45
 #: Share of an item's words, in order, that make a leak if its answer is there too, and by itself; share of the answer.
 PART, WHOLE, ANSWER = 0.6, 0.8, 0.5
 ANSWER_WORDS = 8
-#: Items that one pass over the documents looks for.
-ITEMS_AT_ONCE = 1024
+#: Items of a block, and blocks that a task keeps ready.
+ITEMS_AT_ONCE, BLOCKS_READY = 1024, 4
 #: Hits among an item's rarest words from which a passage is looked at, whatever its cosine.
 SURE = 4
 ROWS_AT_ONCE, STEPS_AT_ONCE = 512, 1 << 13
@@ -124,13 +125,20 @@ def common_subsequence(own: list, other: list) -> int:
     return len(own) - row.bit_count()
 
 
-class Benchmark:
-    """Items as word hashes, grouped by how many steps of words hold them wherever they begin."""
+class Items:
+    """Items of a benchmark as word hashes; those without words are left out."""
 
-    def __init__(self, ids: list, texts: list, space: np.ndarray, idf: np.ndarray):
+    def __init__(self, ids: list, texts: list):
         hashes, at = words(pa.array(texts, pa.string()))
         self.ids = [i for i, a, b in zip(ids, at[:-1], at[1:], strict=True) if b > a]
         self.words = [hashes[a:b] for a, b in zip(at[:-1], at[1:], strict=True) if b > a]
+
+
+class Benchmark:
+    """Items ready to be looked for, grouped by how many steps of words hold them wherever they begin."""
+
+    def __init__(self, items: Items, space: np.ndarray, idf: np.ndarray):
+        self.ids, self.words = items.ids, items.words
         self.space, self.idf = space, idf
         self.listed = [own.tolist() for own in self.words]
         #: what each term of an item adds to its share of weight; the last column is that of a filler
@@ -151,14 +159,12 @@ class Benchmark:
         terms = padded(term(hashes), at, STEP, TERMS)
         added = sums(self.space, terms)
         text = np.searchsorted(at, starts, "right") - 1
-        beyond = np.zeros(self.space.shape[1], np.float32)
         for k in range(0, len(starts), STEPS_AT_ONCE):
-            own = np.arange(k, min(k + STEPS_AT_ONCE, len(starts)))
+            own = text[k : k + STEPS_AT_ONCE]
             x = np.zeros((len(own), self.space.shape[1]), np.float32)
             for steps in range(1, max(self.by_steps, default=0) + 1):
-                to = np.minimum(own + steps - 1, len(starts) - 1)
-                inside = (text[to] == text[own]) & (to == own + steps - 1)
-                x += np.where(inside[:, None], added[to], beyond)
+                more = added[k + steps - 1 : k + steps - 1 + len(own)]
+                x[: len(more)] += more * (text[k + steps - 1 : k + steps - 1 + len(own)] == own[: len(more)])[:, None]
                 if steps not in self.by_steps:
                     continue
                 rows, near = self.by_steps[steps]
@@ -257,25 +263,29 @@ class Benchmark:
         return out
 
 
-def _search(bench, *limits: float):
+def _passing(blocks: list, space) -> Iterator[Benchmark]:
+    """The blocks one after the other, none of them kept."""
+    for block in blocks:
+        yield Benchmark(block.value, *space.value)
+        vars(block).pop("_value", None)  # read again from its file when the next texts need it
+
+
+def _search(blocks: list, space, *limits: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = bench.value
+        ready = [Benchmark(b.value, *space.value) for b in blocks[:BLOCKS_READY]]
         for batch in (x for full in batches for x in slices(full)):
             hashes, at = words(batch.column("text"))
-            best = list(zip(*(batch.column(c).to_pylist() for c in ("share", "item_id", "cosine", "n_items")), strict=True))
             hits: dict[int, dict] = {}
-            for text, share, item, near in items.leaks(hashes, at, *limits) if len(hashes) else ():
-                own = hits.setdefault(text, {})
-                own[item] = max(own.get(item, (0.0, 0.0)), (share, near))
+            for items in chain(ready, _passing(blocks[BLOCKS_READY:], space)) if len(hashes) else ():
+                for text, share, item, near in items.leaks(hashes, at, *limits):
+                    own = hits.setdefault(text, {})
+                    own[item] = max(own.get(item, (0.0, 0.0)), (share, near))
+            best = [(None, None, None, 0)] * len(batch)
             for text, own in hits.items():
                 item, (share, near) = min(own.items(), key=lambda x: (-x[1][0], x[0]))
-                old = best[text]
-                n = old[3] + len(own)
-                best[text] = (share, item, near, n) if old[0] is None or (-share, item) < (-old[0], old[1]) else (*old[:3], n)
+                best[text] = (share, item, near, len(own))
             types = (pa.float64(), pa.int64(), pa.float64(), pa.int64())
-            found = ["share", "item_id", "cosine", "n_items"]
-            rest = [c for c in batch.schema.names if c not in found]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *(pa.array([b[k] for b in best], t) for k, t in enumerate(types))], [*rest, *found])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([b[k] for b in best], t) for k, t in enumerate(types))], [*batch.schema.names, "share", "item_id", "cosine", "n_items"])
 
     return run
 
@@ -291,8 +301,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, we
     ``answer`` of the item's last eight, where its answer stands. ``item_id`` is that of the largest share, ties to the least.
 
     Null or empty text has no passage and null or empty items have no leak; null doc ids and repeated rows pass through; of
-    items with the same id each is looked for and the id counts once a pass; without items nothing is contaminated. Items are
-    broadcast 1,024 at a time, a pass over the documents for each such block; documents are never moved.
+    items with the same id each is looked for and the id counts once; without items nothing is contaminated. Items are
+    broadcast as word hashes in blocks of 1,024, which one pass over the documents takes in turn: what grows with a benchmark
+    is the files of its blocks (half a kilobyte an item), not the memory of a task. Documents are never moved.
     """
     out = _marked(columns(docs, doc_id="long", text="string"), benchmark, cosine, weight, part, whole, answer)
     return out.select("doc_id", "text", (F.col("n_items") > 0).alias("contaminated"), "item_id", "share", "cosine", "n_items")
@@ -314,16 +325,14 @@ def _marked(docs: DataFrame, benchmark: DataFrame, *limits: float) -> DataFrame:
         holding[at], passages = total["n"], int(total["passages"].max())
         product[at] = total[[f"y{k}" for k in range(RANK + MORE)]].to_numpy()
     space, idf = latent(holding, passages, product)
-    none = {"share": "double", "item_id": "long", "cosine": "double"}
-    out = docs.select("*", *[F.lit(None).cast(t).alias(c) for c, t in none.items()], F.lit(0).cast("long").alias("n_items"))
-    blocks = -(-benchmark.count() // ITEMS_AT_ONCE)
-    for k in range(blocks):
-        own: pd.DataFrame = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).toPandas().sort_values(["item_id", "text"])
-        bench = spark.sparkContext.broadcast(Benchmark(own["item_id"].tolist(), own["text"].tolist(), space, idf))
-        out = out.mapInArrow(_search(bench, *limits), out.schema)
-        if k + 1 < blocks:
-            out = stored(out, "searched")
-    return out
+    shared, blocks, held = spark.sparkContext.broadcast((space, idf)), [], []
+    for row in chain(benchmark.orderBy("item_id", "text").toLocalIterator(), [None]):
+        if held and (row is None or len(held) == ITEMS_AT_ONCE):
+            blocks.append(spark.sparkContext.broadcast(Items([r["item_id"] for r in held], [r["text"] for r in held])))
+            held = []
+        held.append(row)
+    found = [T.StructField("share", T.DoubleType()), T.StructField("item_id", T.LongType()), T.StructField("cosine", T.DoubleType()), T.StructField("n_items", T.LongType())]
+    return docs.mapInArrow(_search(blocks, shared, *limits), T.StructType([*docs.schema.fields, *found]))
 
 
 def op8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:

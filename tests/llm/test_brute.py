@@ -378,7 +378,7 @@ def rewritten(share, seed, n=120):
         at = int(r.integers(len(host)))
         host[at:at] = item
         texts.append(" ".join(host))
-    return leaks.Benchmark(list(range(len(bench))), bench.tolist(), space, idf), common.words(pa.array(texts))
+    return leaks.Benchmark(leaks.Items(list(range(len(bench))), bench.tolist()), space, idf), common.words(pa.array(texts))
 
 
 @pytest.mark.parametrize("share", [0.8, 0.7, 0.62])
