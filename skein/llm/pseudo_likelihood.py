@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 
 from .common import buffers, columns, lowered, slices, spans, stored, table, words
 
-#: Tokens that rare words share by hash, units of the hidden layer, steps of training that a small corpus gets at least.
-SHARED, HIDDEN, STEPS = 16, 64, 200
+#: Tokens that rare words share by hash, words that a window has on either side, units of the hidden layer, steps of training
+#: that a small corpus gets at least.
+SHARED, REACH, HIDDEN, STEPS = 16, 2, 24, 32
 #: Count from which a word has a token of its own; in large corpora that is the root of their words over ROOT.
 LEAST, ROOT = 5, 100
 #: Tokens of a step, parts of the corpus between which models are averaged, sweeps over a part at most.
 BATCH, ROUNDS, SWEEPS = 1 << 17, 2, 8
 HASHES_AT_ONCE = 1_000_000
+#: Tokens that a step works on at once, so that their rows stay in the cache.
+ROWS_AT_ONCE = 1 << 12
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,112 +56,90 @@ def tokens(texts: pa.Array, frequent: np.ndarray, shared: int) -> tuple[np.ndarr
     return ids, at
 
 
-def windows(ids: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """For each token the cell ((left * (size + 1)) + right) * size + token; ``size`` itself stands beyond a text's ends."""
-    left, right = np.full(len(ids), size), np.full(len(ids), size)
-    left[1:], right[:-1] = ids[:-1], ids[1:]
-    inner = at[at < len(ids)]
-    left[inner] = size
-    right[inner[inner > 0] - 1] = size
-    return (left * (size + 1) + right) * size + ids
-
-
-def _window_counts(frequent: np.ndarray, shared: int):
-    size = len(frequent) + shared
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((size + 1) ** 2 * size, np.int64)
-        for batch in (x for whole in batches for x in slices(whole)):
-            held += np.bincount(windows(*tokens(batch.column("text"), frequent, shared), size), minlength=len(held))
-        cells = np.flatnonzero(held)
-        if len(cells):
-            yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(held[cells])], ["cell", "n"])
-
-    return run
-
-
-def train(counts: np.ndarray, hidden: int = HIDDEN, steps: int = STEPS, rate: float = 0.05, seed: int = 7) -> np.ndarray:
-    """Log-probabilities [left, right, token] of the trained network, from ``counts`` of the same shape.
-
-    The network adds an embedding of the left word and one of the right word, applies tanh and a softmax layer. As
-    its input is one of (size + 1) ** 2 windows, the counts are all that the corpus says about it: each step is an
-    Adam step on the exact mean log-loss over all tokens of the corpus.
-    """
-    size, total = counts.shape[2], max(counts.sum(), 1)
-    weight = (counts / total).astype(np.float32)
-    mass = weight.sum(axis=2, keepdims=True)
-    r = np.random.default_rng(seed)
-    share = counts.sum(axis=(0, 1)) + 1
-    par = [r.normal(0, 0.3, (size + 1, hidden)), r.normal(0, 0.3, (size + 1, hidden)), r.normal(0, 0.3, (hidden, size)), np.log(share / share.sum())]
-    par = [p.astype(np.float32) for p in par]
-    first, second = [np.zeros_like(p) for p in par], [np.zeros_like(p) for p in par]
-
-    def forward() -> tuple[np.ndarray, np.ndarray]:
-        x = np.tanh(par[0][:, None] + par[1][None])
-        z = x @ par[2] + par[3]
-        z -= z.max(axis=2, keepdims=True)
-        return x, z - np.log(np.exp(z).sum(axis=2, keepdims=True))
-
-    for k in range(1, steps + 1):
-        x, logp = forward()
-        d = np.exp(logp) * mass - weight
-        dx = (d @ par[2].T) * (1 - x * x)
-        slopes = [dx.sum(axis=1), dx.sum(axis=0), x.reshape(-1, hidden).T @ d.reshape(-1, size), d.sum(axis=(0, 1))]
-        for p, g, m, v in zip(par, slopes, first, second, strict=True):
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            p -= rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-7)
-    return forward()[1]
+def windows(ids: np.ndarray, at: np.ndarray, size: int, reach: int = REACH) -> np.ndarray:
+    """For each token the ids of the words ``reach`` to 1 before it and 1 to ``reach`` behind it, a row for each place;
+    ``size`` stands beyond a text's ends."""
+    out = np.full((2 * reach, len(ids)), size, np.int64)
+    of = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    for row, away in zip(out, [*range(-reach, 0), *range(1, reach + 1)], strict=True):
+        here, there = slice(max(0, -away), len(ids) - max(0, away)), slice(max(0, away), len(ids) - max(0, -away))
+        row[here] = np.where(of[here] == of[there], ids[there], size)
+    return out
 
 
 class Network:
     """A window network whose softmax is a tree of three levels: a token's probability is that of its branch of
     ``branches``, of the twig in it and of the token in that, so a step costs the cube root of the vocabulary.
 
-    ``par`` has a row for each left word, right word and node, the bias of a node in its last column.
+    ``par`` has a row for each word at each place of a window and for each node, the bias of a node in its last column.
     """
 
-    def __init__(self, size: int, par: np.ndarray):
+    def __init__(self, size: int, par: np.ndarray, reach: int = REACH):
         self.size, self.par = size, par
         self.branches = branches(size)
-        first = 2 * (size + 1)
+        first = 2 * reach * (size + 1)
         self.levels = [(first, self.branches**2), (first + self.branches, self.branches), (first + self.branches + self.branches**2, 1)]
         self.moved = np.zeros(len(par), np.float32)
+        self.held = [np.empty((ROWS_AT_ONCE, par.shape[1]), np.float32) for _ in range(3)]
+        self.slopes: np.ndarray | None = None
 
-    def step(self, rows, slope: np.ndarray, rate: float) -> None:
-        self.moved[rows] += (slope * slope).mean(axis=1)
-        self.par[rows] -= rate * slope / np.sqrt(self.moved[rows] + 1)[:, None]
+    def walk(self, around: np.ndarray, ids: np.ndarray, rate: float = 0.0) -> np.ndarray:
+        """Log-probability of each token in its window; with a ``rate``, an Adagrad step is taken on their sum.
 
-    def walk(self, left: np.ndarray, right: np.ndarray, ids: np.ndarray, rate: float = 0.0) -> np.ndarray:
-        """Log-probability of each token in its window; with a ``rate``, an Adagrad step is taken on their sum."""
+        Tokens are worked on in the order of the tree, some thousand at a time, whose rows stay in the cache; the slopes
+        of all are summed before the step.
+        """
         order = np.argsort(ids, kind="stable")
-        left, right, own = left[order], right[order] + self.size + 1, ids[order]
-        x = np.tanh(self.par[left] + self.par[right])
-        x[:, -1] = 1
-        said, slopes = np.zeros(len(own)), np.zeros_like(x)
-        for first, below in self.levels:
-            node = own // below
-            group = node // self.branches
-            starts = np.flatnonzero(np.diff(group, prepend=-1))
-            for a, b in zip(starts, [*starts[1:], len(own)], strict=True):
-                at = first + group[a] * self.branches
-                w, k, row = self.par[at : at + self.branches], node[a:b] - group[a] * self.branches, np.arange(b - a)
-                z = x[a:b] @ w.T
-                z -= z.max(axis=1, keepdims=True)
-                e = np.exp(z)
-                total = e.sum(axis=1)
-                said[a:b] += z[row, k] - np.log(total)
-                if rate:
-                    e /= total[:, None]
-                    e[row, k] -= 1
-                    slopes[a:b] += e @ w
-                    self.step(slice(at, at + self.branches), e.T @ x[a:b], rate)
+        around, own = around[:, order] + (self.size + 1) * np.arange(len(around))[:, None], ids[order]
+        if rate and self.slopes is None:
+            self.slopes = np.zeros_like(self.par)
+        said, met = np.zeros(len(own)), [*around]
+        for c in range(0, len(own), ROWS_AT_ONCE):
+            n = min(ROWS_AT_ONCE, len(own) - c)
+            x, slopes, spare = (h[:n] for h in self.held)
+            sides = around[:, c : c + n]
+            np.take(self.par, sides[0], axis=0, out=x)
+            for side in sides[1:]:
+                np.take(self.par, side, axis=0, out=spare)
+                x += spare
+            np.tanh(x, out=x)
+            x[:, -1] = 1
+            slopes.fill(0)
+            for first, below in self.levels:
+                node = own[c : c + n] // below
+                group = node // self.branches
+                starts = np.flatnonzero(np.diff(group, prepend=-1))
+                branch = node - group * self.branches
+                for a, b in zip(starts.tolist(), [*starts[1:].tolist(), n], strict=True):
+                    at = first + int(group[a]) * self.branches
+                    w, k, row = self.par[at : at + self.branches], branch[a:b], np.arange(b - a)
+                    z = x[a:b] @ w.T
+                    z -= z.max(axis=1, keepdims=True)
+                    one = z[row, k]
+                    e = np.exp(z, out=z)
+                    total = e.sum(axis=1)
+                    said[c + a : c + b] += one - np.log(total)
+                    if rate:
+                        e /= total[:, None]
+                        e[row, k] -= 1
+                        slopes[a:b] += e @ w
+                        self.slopes[at : at + self.branches] += e.T @ x[a:b]
+                        met.append(np.arange(at, at + self.branches))
+            if rate:
+                np.multiply(x, x, out=x)
+                np.subtract(1, x, out=x)  # the last column is that of the bias: 0
+                slopes *= x
+                for side in sides:
+                    by = np.argsort(side, kind="stable")
+                    at = np.flatnonzero(np.diff(side[by], prepend=-1))
+                    np.take(slopes, by, axis=0, out=spare)
+                    self.slopes[side[by][at]] += np.add.reduceat(spare, at)
         if rate:
-            slopes *= 1 - x * x  # the last column is that of the bias: 0
-            for side in (left, right):
-                by = np.argsort(side, kind="stable")
-                at = np.flatnonzero(np.diff(side[by], prepend=-1))
-                self.step(side[by][at], np.add.reduceat(slopes[by], at), rate)
+            rows = np.flatnonzero(np.bincount(np.concatenate(met), minlength=len(self.par)))
+            slope = self.slopes[rows]
+            self.moved[rows] += (slope * slope).mean(axis=1)
+            self.par[rows] -= rate * slope / np.sqrt(self.moved[rows] + 1)[:, None]
+            self.slopes[rows] = 0
         out = np.empty_like(said)
         out[order] = said
         return out
@@ -171,37 +152,44 @@ def branches(size: int) -> int:
     return n
 
 
-def untrained(counts: np.ndarray, hidden: int = HIDDEN, seed: int = 7) -> np.ndarray:
+def untrained(counts: np.ndarray, hidden: int = HIDDEN, reach: int = REACH, seed: int = 7) -> np.ndarray:
     """Rows of a network that gives every token its share of the corpus, whatever its window."""
     size, n = len(counts), branches(len(counts))
     mass = np.zeros(n**3)
     mass[:size] = counts + 0.5
     bias = np.concatenate([np.log(np.maximum(mass.reshape(-1, w).sum(axis=1), 1e-9)) for w in (n * n, n, 1)])
-    par = np.random.default_rng(seed).normal(0, 0.1, (2 * (size + 1) + len(bias), hidden + 1)).astype(np.float32)
+    par = np.random.default_rng(seed).normal(0, 0.1, (2 * reach * (size + 1) + len(bias), hidden + 1)).astype(np.float32)
     par[:, -1] = 0
-    par[2 * (size + 1) :, -1] = bias
+    par[2 * reach * (size + 1) :, -1] = bias
     return par
 
 
-def _sides(cells: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    both, ids = np.divmod(cells, size)
-    return *np.divmod(both, size + 1), ids
-
-
 def _train_part(known, shared: int, par, sweeps: int, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = len(known.value) + shared
         net = Network(size, par.value.copy())
         for batch in (x for whole in batches for x in slices(whole)):
-            cells = windows(*tokens(batch.column("text"), known.value, shared), size)
+            ids, at = tokens(batch.column("text"), known.value, shared)
+            around = windows(ids, at, size)
             for _ in range(sweeps):
-                for k in range(0, len(cells), BATCH):
-                    net.walk(*_sides(cells[k : k + BATCH], size), rate)
-        rows = np.flatnonzero(net.moved)
-        for k in range(0, len(rows), BATCH):
-            at = rows[k : k + BATCH]
-            moved = (net.par[at] - par.value[at]) * net.moved[at, None]
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(net.moved[at]), *(pa.array(np.ascontiguousarray(c)) for c in moved.T)], ["row", "w", *(f"y{j}" for j in range(moved.shape[1]))])
+                for k in range(0, len(ids), BATCH):
+                    net.walk(around[:, k : k + BATCH], ids[k : k + BATCH], rate)
+        # for each run of rows its weights, then how far each row moved times its weight
+        for k in range(0, len(net.par), ROWS_AT_ONCE):
+            at = slice(k, k + ROWS_AT_ONCE)
+            if net.moved[at].any():
+                moved = (net.par[at] - par.value[at]) * net.moved[at, None]
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([net.moved[at].tobytes() + moved.tobytes()], pa.binary())], ["row", "moved"])
+
+    return run
+
+
+def _averaged(width: int):
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = sum(np.frombuffer(x, np.float32).astype(np.float64) for batch in batches for x in batch.column("moved").to_pylist())
+        n = len(total) // (width + 1)
+        mean = total[n:].reshape(n, width) / np.maximum(total[:n], 1e-30)[:, None]
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()]), pa.array([mean.astype(np.float32).tobytes()], pa.binary())], ["row", "moved"])
 
     return run
 
@@ -211,17 +199,15 @@ def train_parts(texts: DataFrame, known: np.ndarray, counts: np.ndarray, hidden:
     texts, and what it moved is averaged row by row, weighted by its squared slopes, after each of ROUNDS parts."""
     spark, par = texts.sparkSession, untrained(counts, hidden)
     sweeps = int(min(SWEEPS, max(1, -(-steps * BATCH // max(counts.sum(), 1)))))
-    names = ["w", *(f"y{k}" for k in range(hidden + 1))]
     words_at = spark.sparkContext.broadcast(known)
     for part in range(ROUNDS):
         held = spark.sparkContext.broadcast(par)
         own = texts.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == part)
-        moved = own.mapInArrow(_train_part(words_at, len(counts) - len(known), held, sweeps, rate), "row long, " + ", ".join(f"{n} float" for n in names))
-        moved = moved.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).select("row", *[(F.col(n) / F.col("w")).cast("float").alias(n) for n in names[1:]]).toArrow()
-        at = moved.column("row").to_numpy()
+        moved = own.mapInArrow(_train_part(words_at, len(counts) - len(known), held, sweeps, rate), "row long, moved binary")
+        moved = moved.groupBy("row").applyInArrow(_averaged(hidden + 1), "row long, moved binary").toArrow()
         par = par.copy()
-        for k, n in enumerate(names[1:]):
-            par[at, k] += moved.column(n).to_numpy()
+        for k, x in zip(moved.column("row").to_pylist(), moved.column("moved").to_pylist(), strict=True):
+            par[k : k + ROWS_AT_ONCE] += np.frombuffer(x, np.float32).reshape(-1, hidden + 1)
         held.unpersist()
     return par
 
@@ -246,7 +232,7 @@ def _spelling(known, shared: int):
         held = np.zeros(1 << 24, np.int32)
         for batch in (x for whole in batches for x in slices(whole)):
             ids, _ = tokens(batch.column("text"), known.value, shared)
-            code, n = np.unique(spelt(batch.column("text"), np.flatnonzero(ids >= len(known.value))), return_counts=True)
+            code, n = np.unique(spelt(batch.column("text"), np.flatnonzero(ids >= len(known.value))).astype(np.uint32), return_counts=True)
             held[code] += n.astype(np.int32)
         code = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(held[code].astype(np.int64))], ["code", "n"])
@@ -273,10 +259,10 @@ def _score_all(known, shared: int, par, letter):
         net = Network(size, par.value)
         for batch in (x for whole in batches for x in slices(whole)):
             ids, at = tokens(batch.column("text"), known.value, shared)
-            cells = windows(ids, at, size)
-            said = np.zeros(len(cells))
-            for k in range(0, len(cells), BATCH):
-                said[k : k + BATCH] = net.walk(*_sides(cells[k : k + BATCH], size))
+            around = windows(ids, at, size)
+            said = np.zeros(len(ids))
+            for k in range(0, len(ids), BATCH):
+                said[k : k + BATCH] = net.walk(around[:, k : k + BATCH], ids[k : k + BATCH])
             rare = np.flatnonzero(ids >= len(known.value))
             if len(rare):
                 code = spelt(batch.column("text"), rare)
@@ -294,50 +280,25 @@ def _scored(doc_id: pa.Array, sums: np.ndarray, at: np.ndarray) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([doc_id, pa.array(n), pa.array(said), pa.array(mean, mask=n == 0), pa.array(np.exp(-mean), mask=n == 0)], ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood", "perplexity"])
 
 
-def _score(frequent: np.ndarray, shared: int, logp):
-    size = len(frequent) + shared
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat = logp.value
-        for batch in (x for whole in batches for x in slices(whole)):
-            ids, at = tokens(batch.column("text"), frequent, shared)
-            sums = np.concatenate(([0.0], np.cumsum(flat[windows(ids, at, size)], dtype=np.float64)))
-            yield _scored(batch.column("doc_id"), sums, at)
-
-    return run
-
-
 SCORES = "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double, perplexity double"
 
 
-def score_documents(docs: DataFrame, frequent: int | None = None, shared: int = SHARED, hidden: int = HIDDEN, steps: int = STEPS) -> DataFrame:
+def score_documents(docs: DataFrame, shared: int = SHARED, hidden: int = HIDDEN, steps: int = STEPS) -> DataFrame:
     """``(doc_id, n_tokens, log_likelihood, mean_log_likelihood, perplexity)`` for every row of ``docs(doc_id, text)``.
 
     Tokens are words (A-Z lowered). Every word that occurs LEAST times, or in large corpora the root of their words over
     ROOT, has one, so the vocabulary grows with the corpus; rarer words share ``shared`` by hash in windows, and each is
     scored by its letters, with a model of those of all rare words. The network predicts every token of the corpus from
-    its neighbour on either side, and is trained on all windows where they are (:func:`train_parts`); a document's score
-    is the sum of the log-probabilities of its tokens, each given all of its window but itself.
-
-    With ``frequent``, only so many words have a token, others are no more than their shared one, and the network is
-    trained on the exact counts of all windows, (size + 1) ** 2 * size at most.
+    the two words on either side, and is trained on all windows where they are (:func:`train_parts`), ``steps`` times at
+    least; a document's score is the sum of the log-probabilities of its tokens, each given all of its window but itself.
 
     Word counts cover every text and meet as partial sums; the driver gets the words with a token and the rows of the
-    network, about three a word. Null or empty text has no tokens, a sum of 0 and no mean; null ids and repeated rows pass
+    network, about five a word. Null or empty text has no tokens, a sum of 0 and no mean; null ids and repeated rows pass
     through; an empty table gives no rows.
     """
     docs = columns(docs, doc_id="long", text="string")
     spark = docs.sparkSession
     counted = docs.select("text").mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    if frequent is not None:
-        top = counted.orderBy(F.desc("n"), "word").limit(frequent).collect()
-        known = np.sort(np.array([r["word"] for r in top], np.int64).view(np.uint64))
-        size = len(known) + shared
-        cells = stored(docs.select("text").mapInArrow(_window_counts(known, shared), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")), "windows").toPandas()
-        counts = np.zeros((size + 1) ** 2 * size)
-        counts[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy()
-        logp = spark.sparkContext.broadcast(train(counts.reshape(size + 1, size + 1, size), hidden, steps).ravel())
-        return docs.mapInArrow(_score(known, shared, logp), SCORES)
     counted = stored(counted, "words")
     total = counted.agg(F.sum("n")).first()[0] or 0
     own = counted.where(F.col("n") >= max(LEAST, int(total**0.5 / ROOT))).toArrow()
