@@ -34,12 +34,22 @@ class Kind:
     base: bool = True
 
 
+#: A value of 16 characters or more behind the name of a secret, and keys known by their shape.
+SECRET = r"(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key)[\x22\x27]?\x20?[:=]\x20?[\x22\x27]?[A-Za-z0-9_+/=.-]{16,}|\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,})"
+# Characters of an IBAN by country.
+IBAN = dict((x[:2], int(x[2:])) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 "
+    "HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 "
+    "QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+).split())
+
 KINDS = (
     Kind("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", 80, 15, "mail|contact|write|reach", 0),
     Kind("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]", 55, 35, "ip|address|host|server|login", 0),
     Kind("card", r"[0-9]([\x20-]?[0-9])+", r"[0-9](?:[\x20-]?[0-9])++", "[0-9]", 80, 15, "card|visa|master|amex|credit|payment", 0),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 60, 30, "phone|tel|call|mobile|fax", 0),
     Kind("iban", r"[A-Z]{2}[0-9]{2}( ?[A-Z0-9]{4}){2,7}( ?[A-Z0-9]{1,3})?", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?", "[A-Z]{2}[0-9]{2}", 85, 10, "iban|bank|account|konto|compte", 0, False),
+    Kind("secret", SECRET, SECRET, "(?i)token|secret|passw|key|AKIA|gh[pousr]_|sk-|xox", 80, 10, "secret|credential|login|auth", 0, False),
     Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "[0-9]{3}-", 40, 45, "ssn|social|security", 60, False),
 )
 CERTAIN = 80
@@ -67,10 +77,19 @@ def _valid(kind: str, m: Column) -> Column:
     if kind == "phone":
         return F.length(_digits(m)).between(9, 15)
     if kind == "iban":
-        return F.length(F.replace(m, F.lit(" "), F.lit(""))).between(15, 34) & (_mod97(m) == 1)
+        return m.isNotNull() & (_mod97(m) == 1)
     return F.lit(True)
 
 
+def _ended(kind: str, m: Column) -> Column:
+    """What of a match belongs to the span: an IBAN ends with the length that its country gives it; null if it is shorter."""
+    if kind != "iban":
+        return m
+    size = F.try_element_at(F.create_map(*[F.lit(x) for pair in IBAN.items() for x in pair]), F.left(m, F.lit(2)))
+    held = lambda k: F.length(F.replace(F.left(m, k), F.lit(" "), F.lit("")))
+    return F.left(m, F.get(F.filter(F.sequence(F.lit(1), F.length(m)), lambda k: held(k) == size), F.lit(0)))
+
+
 def _running(steps: Column) -> Column:
     """Sums of all prefixes of an array, in runs, so that no array is copied once for each element."""
     zero = F.lit(0)
@@ -87,7 +106,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
     ``findings`` is an array of ``(kind, start, end, score)`` in code points, end exclusive, by kind in the order of
     ``KINDS``, then start. A kind's matches are leftmost and do not overlap; those that fail their checksum or
-    limits are dropped without a retry. The score, out of 100, is that of the kind plus its boost where one of its
+    limits are dropped without a retry; an IBAN ends with its country's length. The score, out of 100, is that of the kind plus its boost where one of its
     context words stands within 40 code points; kinds with a least score drop spans below it. Null text counts as
     empty; null ids and repeated rows pass through.
     """
@@ -105,7 +124,8 @@ def find_pii(docs: DataFrame) -> DataFrame:
             end = F.get(F.col(f"e_{k.name}"), i)
             near = F.lower(F.concat(F.right(F.get(gaps, i), F.lit(WINDOW)), F.lit("\n"), F.left(F.get(gaps, i + 1), F.lit(WINDOW))))
             score = F.lit(k.score) + F.when(near.rlike(k.context), k.boost).otherwise(0)
-            return F.struct(F.lit(k.name).alias("kind"), (end - F.length(m)).alias("start"), end.alias("end"), score.alias("score"), m.alias("m"))
+            own = _ended(k.name, m)
+            return F.struct(F.lit(k.name).alias("kind"), (end - F.length(m)).alias("start"), (end - F.length(m) + F.length(own)).alias("end"), score.alias("score"), own.alias("m"))
 
         kept = F.filter(F.transform(F.col(f"m_{k.name}"), span), lambda s: _valid(k.name, s["m"]) & (s["score"] >= k.least))
         return F.transform(kept, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["score"].alias("score")))
@@ -146,14 +166,16 @@ def _oracle() -> str:
         "ip": "len(list_filter(string_split(m, '.'), lambda p: len(ltrim(p, '0')) > 3 OR coalesce(try_cast(right('0' || p, 3) AS INTEGER), 0) > 255)) = 0",
         "card": "len(regexp_replace(m, '[^0-9]', '', 'g')) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, len(regexp_replace(m, '[^0-9]', '', 'g')) + 1), lambda i: CASE WHEN i % 2 = 1 THEN reverse(regexp_replace(m, '[^0-9]', '', 'g'))[i]::INTEGER ELSE (2 * reverse(regexp_replace(m, '[^0-9]', '', 'g'))[i]::INTEGER) // 10 + (2 * reverse(regexp_replace(m, '[^0-9]', '', 'g'))[i]::INTEGER) % 10 END)) % 10 = 0",
         "phone": "len(regexp_replace(m, '[^0-9]', '', 'g')) BETWEEN 9 AND 15",
-        "iban": "len(replace(m, ' ', '')) BETWEEN 15 AND 34 AND list_reduce(list_prepend(0, list_transform(string_split(replace(m, ' ', '')[5:] || replace(m, ' ', '')[1:4], ''), lambda c: CASE WHEN c >= 'A' THEN ascii(c) - 55 ELSE ascii(c) - 48 END)), lambda a, x: CASE WHEN x >= 10 THEN (a * 100 + x) % 97 ELSE (a * 10 + x) % 97 END) = 1",
+        "iban": "m IS NOT NULL AND list_reduce(list_prepend(0, list_transform(string_split(replace(m, ' ', '')[5:] || replace(m, ' ', '')[1:4], ''), lambda c: CASE WHEN c >= 'A' THEN ascii(c) - 55 ELSE ascii(c) - 48 END)), lambda a, x: CASE WHEN x >= 10 THEN (a * 100 + x) % 97 ELSE (a * 10 + x) % 97 END) = 1",
     }
+    sizes = ", ".join(f"'{c}': {n}" for c, n in IBAN.items())
+    ended = {"iban": f"left(whole, list_filter(range(1, len(whole) + 1), lambda k: len(replace(left(whole, k), ' ', '')) = (MAP {{{sizes}}})[left(whole, 2)])[1]::BIGINT)"}
     parts = []
     for rank, k in enumerate(KINDS):
         parts.append(f"""
-SELECT doc_id, {rank} AS rank, '{k.name}' AS kind, e - len(m) AS s, e, {k.score} + CASE WHEN regexp_matches(lower(right(g0, {WINDOW}) || chr(10) || left(g1, {WINDOW})), '{k.context}') THEN {k.boost} ELSE 0 END AS score, {k.least} AS least
-FROM (SELECT doc_id, m, g0, g1, sum(len(g0) + len(m)) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM (
-  SELECT doc_id, unnest(ms) AS m, unnest(gs[1:len(ms)]) AS g0, unnest(gs[2:len(ms) + 1]) AS g1, unnest(range(len(ms))) AS i FROM (
+SELECT doc_id, {rank} AS rank, '{k.name}' AS kind, e - len(whole) AS s, e - len(whole) + len(m) AS e, {k.score} + CASE WHEN regexp_matches(lower(right(g0, {WINDOW}) || chr(10) || left(g1, {WINDOW})), '{k.context}') THEN {k.boost} ELSE 0 END AS score, {k.least} AS least
+FROM (SELECT doc_id, whole, {ended.get(k.name, "whole")} AS m, g0, g1, sum(len(g0) + len(whole)) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM (
+  SELECT doc_id, unnest(ms) AS whole, unnest(gs[1:len(ms)]) AS g0, unnest(gs[2:len(ms) + 1]) AS g1, unnest(range(len(ms))) AS i FROM (
     SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{k.plain}') AS ms, string_split_regex(coalesce(text, ''), '{k.plain}') AS gs FROM documents)))
 WHERE {valid.get(k.name, "true")}""")
     counts = ", ".join(f"count(*) FILTER (kind = '{k.name}') AS n_{k.name}" for k in KINDS)
