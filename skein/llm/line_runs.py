@@ -138,7 +138,8 @@ def _cut(docs: DataFrame, least_lines: int, long_line: int) -> DataFrame:
     told = runs.groupBy("doc_id", "row_hash").agg(F.count("*").alias("n_runs"), F.max("size").cast("long").alias("longest_run"))
     hit = stored(told.join(gone, ["doc_id", "row_hash"], "left"), "hit")
     discard(*levels, runs)
-    out = docs.join(hit, ["doc_id", "row_hash"], "left").withColumn("l", F.split("text", "\n", -1))
+    # a merge join at any size: what goes grows with the corpus and must not be broadcast
+    out = docs.join(hit.hint("merge"), ["doc_id", "row_hash"], "left").withColumn("l", F.split("text", "\n", -1))
     kept = F.array_except(F.sequence(F.lit(0), F.size("l") - 1), F.col("gone"))
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("l", i)), "\n"))
     n = F.coalesce(F.size(F.filter("l", lambda x: F.trim(x) != "")), F.lit(0))
