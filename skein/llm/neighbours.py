@@ -22,7 +22,7 @@ from .common import columns, discard, stored, table
 NEIGHBOURS, EVERY = 20, 20
 PROJECTED, LEAF = 16, 128
 #: Chance, for each true neighbour, that the stopping test has not given it up.
-CONFIDENCE = 0.9
+CONFIDENCE = 0.85
 #: Vectors of a cell on average, of a block of a cell and queries of a block at most; vectors to which the tree of cells is
 #: fitted, and those of them in a cell at least; cells that a query visits first, and by how much that grows a round.
 CELL_ROWS, BLOCK_ROWS, QUERY_ROWS = 8192, 8192, 2048
