@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import columns, stored, table
+from .common import buffers, columns, stored, table
 
 STATES = ("system", "user", "assistant", "tool")
 #: Speaker names as transcripts write them, by state.
@@ -22,7 +22,8 @@ NAMES = {"system": ("system", "instructions?"), "user": ("user", "human", "custo
 #: A marker is a name at the start of a line, maybe bracketed or emphasised, and a colon or closing bracket.
 OPEN, CLOSE = r"(?:[#*\[<|]{1,4}[\x20]?(?:im_start\|>)?)?", r"(?:[\x20]?[*\]|>]{0,3}:[*]{0,2}|[\x20]?[\]|>]{1,2})"
 MARKER_WEIGHT = 6.0  # log-odds by which a marker favours its state
-PIECE = 4096
+#: Segments of a piece, and bytes of their texts, from which it ends.
+PIECE, PIECE_BYTES = 4096, 8 << 20
 FEATURES = ("length", "lines", "asks", "first")
 FOLDS = 5
 
@@ -119,32 +120,37 @@ def learn(turns: DataFrame) -> Model:
 _PLACE = "conv_id long, turn long, segment long, text string, said string, length int, lines int, asks int, first int"
 
 
+def _seen(rows: pa.RecordBatch | pa.Table) -> dict[str, list]:
+    """What the model looks at; texts stay in their Arrow buffers."""
+    return rows.select(["said", *FEATURES]).to_pydict()
+
+
 def _pieces(model: Model, most: int):
     """Sorted rows with the number of their piece, in order all over, and on the last row of each its matrix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        piece, n, conv, ways = (TaskContext.get().partitionId() << 32) - 1, 0, object(), None
+        piece, n, size, conv, ways = (TaskContext.get().partitionId() << 32) - 1, 0, 0, object(), None
         held: pa.RecordBatch | None = None
 
         def marked(batch: pa.RecordBatch, next_conv) -> pa.RecordBatch:
-            nonlocal piece, n, conv, ways
-            rows = batch.to_pydict()
-            seen = model.emissions(rows)
+            nonlocal piece, n, size, conv, ways
+            convs, seen = batch.column("conv_id").to_pylist(), model.emissions(_seen(batch))
+            sizes = np.diff(buffers(batch.column("text"))[1])
             numbers, places, matrices = [], [], []
-            for k, own in enumerate(rows["conv_id"]):
-                if own != conv or n >= most:
-                    piece, n, conv = piece + 1, 0, own
+            for k, own in enumerate(convs):
+                if own != conv or n >= most or size >= PIECE_BYTES:
+                    piece, n, size, conv = piece + 1, 0, 0, own
                     # a row for each state before the piece, and one more for none
                     ways = np.vstack([model.moves, model.start]) + seen[k]
                 else:
                     ways = model.forward(ways, seen[k])
-                n += 1
-                after = rows["conv_id"][k + 1] if k + 1 < len(seen) else next_conv
+                n, size = n + 1, size + int(sizes[k])
+                after = convs[k + 1] if k + 1 < len(seen) else next_conv
                 numbers.append(piece)
                 places.append(n)
-                matrices.append(ways.ravel().tolist() if after != own or n >= most else None)
+                matrices.append(ways.ravel().tolist() if after != own or n >= most or size >= PIECE_BYTES else None)
             return pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64()), pa.array(places, pa.int64()), pa.array(matrices, pa.list_(pa.float64()))], [*batch.schema.names, "piece", "place", "matrix"])
 
         for batch in batches:
@@ -158,32 +164,28 @@ def _pieces(model: Model, most: int):
     return run
 
 
-def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[dict[str, list]]:
+def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """The rows of each value of ``key``, of batches sorted by it."""
     held: list[pa.RecordBatch] = []
-
-    def whole() -> dict[str, list]:
-        return pa.Table.from_batches(held).to_pydict()
-
     for batch in batches:
         keys = batch.column(key).to_pylist()
         at = 0
         for k in range(1, len(keys) + 1):
             if k == len(keys) or keys[k] != keys[at]:
                 if held and held[-1].column(key)[-1].as_py() != keys[at]:
-                    yield whole()
+                    yield pa.Table.from_batches(held)
                     held = []
                 held.append(batch.slice(at, k - at))
                 at = k
     if held:
-        yield whole()
+        yield pa.Table.from_batches(held)
 
 
 def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For the pieces of each conversation, in order, the states before them and at their ends."""
     n = len(STATES)
     out: list[tuple] = []
-    for rows in _runs(batches, "conv_id"):
+    for rows in (x.to_pydict() for x in _runs(batches, "conv_id")):
         ways = [np.array(m).reshape(n + 1, n) for m in rows["matrix"]]
         best, back = ways[0][n], []
         for w in ways[1:]:
@@ -208,8 +210,8 @@ def _rows(out: list[tuple], names: tuple[str, ...]) -> pa.RecordBatch:
 def _decode(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _runs(batches, "piece"):
-            states = model.decode(rows["before"][0], model.emissions(rows), rows["last"][0])
-            yield pa.RecordBatch.from_arrays([pa.array(rows["conv_id"], pa.int64()), pa.array(rows["turn"], pa.int64()), pa.array(rows["segment"], pa.int64()), pa.array(rows["text"], pa.string()), pa.array([STATES[s] for s in states])], ["conv_id", "turn", "segment", "text", "role"])
+            states = model.decode(rows.column("before")[0].as_py(), model.emissions(_seen(rows)), rows.column("last")[0].as_py())
+            yield from rows.select(["conv_id", "turn", "segment", "text"]).append_column("role", pa.array([STATES[s] for s in states])).to_batches()
 
     return run
 
@@ -228,7 +230,8 @@ def format_chats(turns: DataFrame, model: Model, piece: int = PIECE) -> DataFram
 
     Null text is one empty segment; rows without conv_id make up one conversation of their own; repeated rows are
     segments of their own; an empty table gives no rows. Rows are dealt by ranges of (conv_id, turn, ...), so a long
-    conversation spreads; no step holds more than ``piece`` rows of it, or one matrix for each of those.
+    conversation spreads; no step holds more than ``piece`` rows of it or, but for a last text, PIECE_BYTES of their
+    texts, which stay in Arrow buffers, or one matrix for each of those.
     """
     turns = columns(turns, conv_id="long", turn="long", text="string")
     names = [x.split()[0] for x in _PLACE.split(", ")]
