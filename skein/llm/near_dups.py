@@ -8,7 +8,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import buffers, carried, carry, columns, discard, mix, shingles, slices, stored, table, words
@@ -62,7 +62,7 @@ def _sets(size: int):
                 high.append(int.from_bytes(digest[:8], "little", signed=True))
                 low.append(int.from_bytes(digest[8:], "little", signed=True))
                 signatures.append(signature(own).tobytes() if len(own) else None)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(signatures, pa.binary())], ["doc_id", "n_shingles", "high", "low", "signature"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(signatures, pa.binary())], ["doc_id", "n_shingles", "high", "low", "signature"]).append_column("text_hash", batch.column("text_hash"))
 
     return run
 
@@ -208,6 +208,19 @@ def _links(percent: int):
     return run
 
 
+def _one_text(sets: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sets and texts with one of each for every doc_id, and all rows with the set that their doc_id has."""
+    own = F.struct("high", "low", "text_hash", "n_shingles")
+    several = sets.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(own).alias("c"), F.max(own).alias("d")).where("c <> d")
+    several = stored(several.select(F.col("doc_id").alias("id"), "c"), "several")
+    if several.isEmpty():
+        return sets, docs, sets
+    own_text = lambda df: df.join(several, df["doc_id"] == several["id"], "left").where("id IS NULL OR text_hash = c.text_hash").drop("id", "c")
+    told = sets.join(several, sets["doc_id"] == several["id"], "left")
+    told = told.select("doc_id", *[F.coalesce(f"c.{n}", n).alias(n) for n in ("n_shingles", "high", "low")])
+    return own_text(sets), own_text(docs), told
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: float = 1e-6) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs(doc_id, text)``.
 
@@ -222,11 +235,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: flo
     chance of the wanted similarity falls under ``miss`` are pruned batch by batch; the rest are verified on their
     sets, and links on the texts' own words. A pair at 0.8 shares no band with probability 3e-6.
 
-    Rows with the same doc_id count as one document; a row without doc_id links nothing, has no component and is
-    kept; an empty table gives no rows.
+    Rows with the same doc_id count as one document: if their sets differ, that of the least digest is its set, and the
+    text that of the least hash. A row without doc_id links nothing, has no component and is kept; an empty table gives
+    no rows.
     """
-    docs = columns(docs, doc_id="long", text="string")
-    sets = stored(docs.mapInArrow(_sets(size), "doc_id long, n_shingles long, high long, low long, signature binary"), "sets")
+    docs = columns(docs, doc_id="long", text="string").withColumn("text_hash", F.xxhash64("text"))
+    whole_rows = stored(docs.mapInArrow(_sets(size), "doc_id long, n_shingles long, high long, low long, signature binary, text_hash long"), "sets")
+    sets, docs, told = _one_text(whole_rows, docs)
     # aggregates that are joined back are tables of their own, so adaptive execution can split the rows of a hot key
     classes = stored(sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("high", "low").agg(F.min("doc_id").alias("rep")), "classes")
     reps = sets.join(classes.select(F.col("rep").alias("doc_id"), "high", "low"), ["doc_id", "high", "low"], "left_semi").select(F.col("doc_id").alias("rep"), "n_shingles", "signature").dropDuplicates(["rep"])
@@ -263,7 +278,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: flo
     merged = components(ends.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")))
     whole = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("node", F.coalesce("component", "rep")).drop("component")
     whole = stored(whole.join(merged, "node", "left").select("high", "low", F.coalesce("component", "node").alias("component_id")), "whole")
-    out = sets.select("doc_id", "n_shingles", "high", "low").join(whole, ["high", "low"], "left")
+    out = told.select("doc_id", "n_shingles", "high", "low").join(whole, ["high", "low"], "left")
     group = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", group.alias("component_id"), F.coalesce(F.col("doc_id") == group, F.lit(True)).alias("kept"))
 
@@ -271,9 +286,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: flo
 def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, with all their columns, that are the first of their group of near duplicates; rows without
     doc_id are in no group, and of rows with the same doc_id one stays."""
-    kept = near_duplicates(docs, size, percent).where("kept AND doc_id IS NOT NULL").select("doc_id")
+    kept = near_duplicates(docs, size, percent).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     own = carry(docs, doc_id="long")
-    first = own.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    first = own.join(kept, "doc_id", "left_semi")
+    first = first.withColumn("place", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*own.columns)))).where("place = 1").drop("place")
     return carried(first.union(own.where("doc_id IS NULL")), docs)
 
 
