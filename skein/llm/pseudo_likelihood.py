@@ -16,11 +16,12 @@ from .common import buffers, columns, lowered, slices, spans, stored, table, wor
 SHARED, REACH, HIDDEN, STEPS = 16, 2, 24, 32
 #: Count from which a word has a token of its own; in large corpora that is the root of their words over ROOT.
 LEAST, ROOT = 5, 100
-#: Tokens of a step, parts of the corpus between which models are averaged, sweeps over a part at most.
-BATCH, ROUNDS, SWEEPS = 1 << 17, 2, 8
+#: Tokens of a step, parts of the corpus between which models are averaged, sweeps over a part at most, and tokens of the
+#: texts that one task trains on, as each task returns a network.
+BATCH, ROUNDS, SWEEPS, TASK_TOKENS = 1 << 17, 2, 8, 1 << 23
 HASHES_AT_ONCE = 1_000_000
 #: Tokens that a step works on at once, so that their rows stay in the cache.
-ROWS_AT_ONCE = 1 << 12
+ROWS_AT_ONCE = 1 << 13
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -46,14 +47,39 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["word", "n"])
 
 
-def tokens(texts: pa.Array, frequent: np.ndarray, shared: int) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of all texts in order and each text's first place. ``frequent``: the hashes that have a token, ascending."""
+class Vocabulary:
+    """The hashes of the words that have a token, ascending, and a table in which most of them are found at once."""
+
+    def __init__(self, known: np.ndarray, shared: int):
+        self.known, self.shared = known, shared
+        self.size = len(known) + shared
+        self.shift = np.uint64(64 - max(10, int(4 * len(known)).bit_length()))
+        self.table = np.full(1 << (64 - int(self.shift)), -1, np.int32)
+        self.table[known >> self.shift] = np.arange(len(known))  # of words in one place the last stands
+        place = known >> self.shift
+        self.crowded = np.unique(place[1:][place[1:] == place[:-1]])
+
+    def ids(self, hashes: np.ndarray) -> np.ndarray:
+        out = len(self.known) + (hashes % np.uint64(self.shared)).astype(np.int64)
+        if not len(self.known):
+            return out
+        place = hashes >> self.shift
+        first = self.table[place]
+        hit = (first >= 0) & (self.known[first] == hashes)
+        out[hit] = first[hit]
+        if len(self.crowded):
+            rest = np.flatnonzero(~hit & (first >= 0))
+            rest = rest[np.isin(place[rest], self.crowded)]
+            where = np.minimum(np.searchsorted(self.known, hashes[rest]), len(self.known) - 1)
+            good = self.known[where] == hashes[rest]
+            out[rest[good]] = where[good]
+        return out
+
+
+def tokens(texts: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of all texts in order and each text's first place."""
     hashes, at = words(texts)
-    ids = len(frequent) + (hashes % np.uint64(shared)).astype(np.int64)
-    if len(frequent):
-        where = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
-        ids = np.where(frequent[where] == hashes, where, ids)
-    return ids, at
+    return vocabulary.ids(hashes), at
 
 
 def windows(ids: np.ndarray, at: np.ndarray, size: int, reach: int = REACH) -> np.ndarray:
@@ -93,7 +119,7 @@ class Network:
         around, own = around[:, order] + (self.size + 1) * np.arange(len(around))[:, None], ids[order]
         if rate and self.slopes is None:
             self.slopes = np.zeros_like(self.par)
-        said, met = np.zeros(len(own)), [*around]
+        said, met, ones = np.zeros(len(own)), [*around], np.ones(self.branches, np.float32)
         for c in range(0, len(own), ROWS_AT_ONCE):
             n = min(ROWS_AT_ONCE, len(own) - c)
             x, slopes, spare = (h[:n] for h in self.held)
@@ -114,10 +140,11 @@ class Network:
                     at = first + int(group[a]) * self.branches
                     w, k, row = self.par[at : at + self.branches], branch[a:b], np.arange(b - a)
                     z = x[a:b] @ w.T
-                    z -= z.max(axis=1, keepdims=True)
+                    if z.max() > 60:  # beyond what a sum of exponentials bears
+                        z -= z.max(axis=1, keepdims=True)
                     one = z[row, k]
                     e = np.exp(z, out=z)
-                    total = e.sum(axis=1)
+                    total = e @ ones
                     said[c + a : c + b] += one - np.log(total)
                     if rate:
                         e /= total[:, None]
@@ -166,11 +193,11 @@ def untrained(counts: np.ndarray, hidden: int = HIDDEN, reach: int = REACH, seed
 
 def _train_part(known, shared: int, par, sweeps: int, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = len(known.value) + shared
-        net = Network(size, par.value.copy())
+        own = Vocabulary(known.value, shared)
+        net = Network(own.size, par.value.copy())
         for batch in (x for whole in batches for x in slices(whole)):
-            ids, at = tokens(batch.column("text"), known.value, shared)
-            around = windows(ids, at, size)
+            ids, at = tokens(batch.column("text"), own)
+            around = windows(ids, at, own.size)
             for _ in range(sweeps):
                 for k in range(0, len(ids), BATCH):
                     net.walk(around[:, k : k + BATCH], ids[k : k + BATCH], rate)
@@ -200,9 +227,10 @@ def train_parts(texts: DataFrame, known: np.ndarray, counts: np.ndarray, hidden:
     spark, par = texts.sparkSession, untrained(counts, hidden)
     sweeps = int(min(SWEEPS, max(1, -(-steps * BATCH // max(counts.sum(), 1)))))
     words_at = spark.sparkContext.broadcast(known)
+    tasks = max(spark.sparkContext.defaultParallelism, int(counts.sum()) // TASK_TOKENS)
     for part in range(ROUNDS):
         held = spark.sparkContext.broadcast(par)
-        own = texts.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == part)
+        own = texts.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == part).coalesce(tasks)
         moved = own.mapInArrow(_train_part(words_at, len(counts) - len(known), held, sweeps, rate), "row long, moved binary")
         moved = moved.groupBy("row").applyInArrow(_averaged(hidden + 1), "row long, moved binary").toArrow()
         par = par.copy()
@@ -229,9 +257,9 @@ def spelt(texts: pa.Array, rare: np.ndarray) -> np.ndarray:
 
 def _spelling(known, shared: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(1 << 24, np.int32)
+        held, own = np.zeros(1 << 24, np.int32), Vocabulary(known.value, shared)
         for batch in (x for whole in batches for x in slices(whole)):
-            ids, _ = tokens(batch.column("text"), known.value, shared)
+            ids, _ = tokens(batch.column("text"), own)
             code, n = np.unique(spelt(batch.column("text"), np.flatnonzero(ids >= len(known.value))).astype(np.uint32), return_counts=True)
             held[code] += n.astype(np.int32)
         code = np.flatnonzero(held)
@@ -255,11 +283,11 @@ def letters(code: np.ndarray, n: np.ndarray, kept: float = 4.0) -> np.ndarray:
 
 def _score_all(known, shared: int, par, letter):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = len(known.value) + shared
-        net = Network(size, par.value)
+        own = Vocabulary(known.value, shared)
+        net = Network(own.size, par.value)
         for batch in (x for whole in batches for x in slices(whole)):
-            ids, at = tokens(batch.column("text"), known.value, shared)
-            around = windows(ids, at, size)
+            ids, at = tokens(batch.column("text"), own)
+            around = windows(ids, at, own.size)
             said = np.zeros(len(ids))
             for k in range(0, len(ids), BATCH):
                 said[k : k + BATCH] = net.walk(around[:, k : k + BATCH], ids[k : k + BATCH])

@@ -371,12 +371,21 @@ def test_scores_are_those_of_a_plain_network(spark, monkeypatch):
 
     size = len(made["known"]) + pseudo_likelihood.SHARED
     for row, text in zip(out, texts, strict=True):
-        ids, at = pseudo_likelihood.tokens(pa.array([text], pa.string()), made["known"], pseudo_likelihood.SHARED)
+        ids, at = pseudo_likelihood.tokens(pa.array([text], pa.string()), pseudo_likelihood.Vocabulary(made["known"], pseudo_likelihood.SHARED))
         around = pseudo_likelihood.windows(ids, at, size).T
         assert (ids < len(made["known"])).all()
         assert row["n_tokens"] == len(ids) and abs(row["log_likelihood"] - sum(plain_log_probability(made["par"], size, a, t) for a, t in zip(around, ids, strict=True))) < 1e-2
 
 
+def test_vocabulary_finds_crowded_words():
+    r = np.random.default_rng(3)
+    known = np.sort(np.concatenate([r.integers(0, 1 << 63, 500).astype(np.uint64), np.arange(40, dtype=np.uint64) + np.uint64(7 << 50), [np.uint64((1 << 64) - 1)]]))
+    own = pseudo_likelihood.Vocabulary(known, 16)
+    other = r.integers(0, 1 << 63, 300).astype(np.uint64)
+    assert own.ids(known).tolist() == list(range(len(known))) and (own.ids(np.concatenate([other, known + np.uint64(1)])[~np.isin(np.concatenate([other, known + np.uint64(1)]), known)]) >= len(known)).all()
+    assert (pseudo_likelihood.Vocabulary(known[:0], 4).ids(other) < 4).all()
+
+
 def test_step_follows_the_slope():
     r = np.random.default_rng(2)
     par = pseudo_likelihood.untrained(r.integers(1, 9, 20).astype(float), 5)
