@@ -64,14 +64,17 @@ def route_children(children: DataFrame, bound: DataFrame) -> tuple[DataFrame, Da
     stated = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
     fits = F.col("call_id").isNotNull() & (~stated("marker_call_id") | (F.col("marker_call_id") == F.col("call_id"))) & (~stated("marker_task") | (F.col("marker_task") == F.col("task_name")))
     tier = F.when(~stated("recipient") | (F.col("recipient") == F.col("agent_name")), 0).when(~stated("agent_name") & (base_name(F.col("recipient")) == F.col("task_name")), 1)
-    pairs = pairs.withColumn("fits", fits).withColumn("tier", F.when(fits, tier))
-    pairs = pairs.join(pairs.groupBy("child_id").agg(F.min("tier").alias("best")), "child_id")
-    hit = F.col("tier").isNotNull() & (F.col("tier") == F.col("best"))
-    counted = pairs.groupBy("child_id").agg(F.count_if(F.col("call_id").isNotNull()).alias("on_turn"), F.count_if("fits").alias("fitting"), F.count_if(hit).alias("n"))
-    code = F.when(F.col("on_turn") == 0, "missing_spawn_call").when((F.col("fitting") == 0) | (F.col("n") == 0), "spawn_routing_mismatch").otherwise("ambiguous_spawn_call")
-    one = pairs.where(hit).join(counted.where("n = 1").select("child_id"), "child_id", "left_semi")
-    edges = one.select("child_id", "session_id", F.col("parent_thread_id").alias("thread_id"), F.col("parent_turn_id").alias("turn_id"), "call_id", "parent_leaf")
-    return edges, bad.unionByName(counted.where("n <> 1").select("child_id", code.alias("code")))
+    own = F.struct("session_id", F.col("parent_thread_id").alias("thread_id"), F.col("parent_turn_id").alias("turn_id"), "call_id", "parent_leaf")
+    pairs = pairs.withColumn("tier", F.when(fits, tier))
+    # one pass: of each tier how many events fit, and the only one if there is no other
+    per = pairs.groupBy("child_id").agg(
+        F.count("call_id").alias("on_turn"),
+        *[F.count_if(F.col("tier") == t).alias(f"n{t}") for t in (0, 1)],
+        *[F.min(F.when(F.col("tier") == t, own)).alias(f"own{t}") for t in (0, 1)],
+    )
+    per = settled(per.select("child_id", "on_turn", F.when(F.col("n0") > 0, F.col("n0")).otherwise(F.col("n1")).alias("n"), F.when(F.col("n0") > 0, F.col("own0")).otherwise(F.col("own1")).alias("own")))
+    code = F.when(F.col("on_turn") == 0, "missing_spawn_call").when(F.col("n") == 0, "spawn_routing_mismatch").otherwise("ambiguous_spawn_call")
+    return per.where("n = 1").select("child_id", "own.*"), bad.unionByName(per.where("n <> 1").select("child_id", code.alias("code")))
 
 
 def single_claims(edges: DataFrame) -> tuple[DataFrame, DataFrame]:

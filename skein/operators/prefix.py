@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import real_session
+from .storage import settled
 
 
 def token(role: Column, content: Column, name: Column | None = None, call_id: Column | None = None, calls: Column | None = None) -> Column:
@@ -60,7 +61,8 @@ class Fold:
     def __init__(self, captures: DataFrame, order: tuple[str, ...] = ("capture_id",), signature: str | None = None):
         start = F.concat_ws("\x1f", F.col("scope"), F.col(signature)) if signature else F.col("scope")
         self.order = order
-        self.chained = captures.withColumn("_chain", chain(start, F.col("tokens"))).withColumn("_n", F.size("_chain") - 1)
+        # written once: leaves, contributors and witnesses all read it, and the digests are Python's work
+        self.chained = settled(captures.withColumn("_chain", chain(start, F.col("tokens"))).withColumn("_n", F.size("_chain") - 1))
         self.ends = self.chained.withColumn("_end", F.element_at("_chain", -1))
         depth = F.least(F.col("history"), F.col("_n") - 1)
         self.covers = self.chained.where("_n > 0").select("capture_id", *[c for c in order if c != "capture_id"], "_n", F.explode(F.slice("_chain", F.lit(1), depth + 1)).alias("_end"))

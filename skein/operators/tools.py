@@ -75,28 +75,30 @@ def check_calls(calls: DataFrame, tools: DataFrame) -> DataFrame:
     argument that is absent is no defect if its property has a default or may be null. An integer is a number too; a
     property that declares no type takes any.
     """
-    members = "map<string,string>"
-    as_map = lambda v: F.when(F.trim(v).startswith("{"), F.from_json(v, members))
-    own = tools.select("node_id", "name", F.col("parameters").alias("_parameters"), F.lit(True).alias("_defined"))
-    out = calls.join(own, ["node_id", "name"], "left").withColumn("_arguments", raw_members("arguments"))
-    out = out.withColumn("_properties", raw_members(F.get_json_object("_parameters", "$.properties")))
-    required = F.when(F.get_json_object("_parameters", "$.required").startswith("["), F.from_json(F.get_json_object("_parameters", "$.required"), "array<string>"))
     none = F.array().cast("array<string>")
-    out = out.withColumn("_required", F.coalesce(required, none)).withColumn("undefined", F.col("_defined").isNull())
-    out = out.withColumn("unverifiable", ~F.col("undefined") & (F.col("_arguments").isNull() | F.col("_properties").isNull()))
+    # a definition is read once, whatever the number of its calls
+    own = tools.select("node_id", "name", raw_members(F.get_json_object("parameters", "$.properties")).alias("_properties"), F.get_json_object("parameters", "$.required").alias("_asked"))
+    kind = lambda p: F.get_json_object(p, "$.type")
+    declared = lambda p: F.when(kind(p).startswith("["), F.from_json(kind(p), "array<string>")).otherwise(F.array_compact(F.array(kind(p))))
+    own = own.withColumn("_types", F.transform_values("_properties", lambda _, p: declared(p)))
+    may_lack = lambda n: F.coalesce(F.array_contains(F.json_object_keys(F.element_at("_properties", n)), "default") | F.array_contains(F.element_at("_types", n), "null"), F.lit(False))
+    own = own.select(
+        "node_id", "name", "_types", F.map_keys("_types").alias("_known"), F.filter(F.map_keys("_types"), may_lack).alias("_spared"),
+        F.coalesce(F.when(F.col("_asked").startswith("["), F.from_json("_asked", "array<string>")), none).alias("_required"), F.lit(True).alias("_defined"),
+    )
+    given = calls.withColumn("_kinds", F.transform_values(raw_members("arguments"), lambda _, v: json_kind(v)))
+    out = given.join(own, ["node_id", "name"], "left").withColumn("undefined", F.col("_defined").isNull()).withColumn("_given", F.map_keys("_kinds"))
+    out = out.withColumn("unverifiable", ~F.col("undefined") & (F.col("_kinds").isNull() | F.col("_types").isNull()))
     checked = ~F.col("undefined") & ~F.col("unverifiable")
-    given, known = F.map_keys("_arguments"), F.map_keys("_properties")
-    property_of = lambda n: F.element_at("_properties", n)
-    declared = lambda p: F.when(F.get_json_object(p, "$.type").startswith("["), F.from_json(F.get_json_object(p, "$.type"), "array<string>")).otherwise(F.array_compact(F.array(F.get_json_object(p, "$.type"))))
-    spared = lambda n: F.coalesce(F.array_contains(F.json_object_keys(property_of(n)), "default") | F.array_contains(declared(property_of(n)), "null"), F.lit(False))
-    absent = F.array_except("_required", given)
-    fits = lambda p, v: (F.size(declared(p)) == 0) | F.array_contains(declared(p), json_kind(v)) | ((json_kind(v) == "integer") & F.array_contains(declared(p), "number"))
-    wrong = F.filter(F.array_sort(F.array_intersect(given, known)), lambda n: ~fits(property_of(n), F.element_at("_arguments", n)))
-    told = F.transform(wrong, lambda n: F.concat_ws(":", n, F.array_join(declared(property_of(n)), ","), json_kind(F.element_at("_arguments", n))))
+    type_of, kind_of = lambda n: F.element_at("_types", n), lambda n: F.element_at("_kinds", n)
+    fits = lambda n: (F.size(type_of(n)) == 0) | F.array_contains(type_of(n), kind_of(n)) | ((kind_of(n) == "integer") & F.array_contains(type_of(n), "number"))
+    out = out.withColumn("_absent", F.array_except("_required", "_given")).withColumn("_wrong", F.filter(F.array_sort(F.array_intersect("_given", "_known")), lambda n: ~fits(n)))
+    told = F.transform("_wrong", lambda n: F.concat_ws(":", n, F.array_join(type_of(n), ","), kind_of(n)))
     when = lambda value: F.when(checked, value).otherwise(none)
-    out = out.withColumns({"extra": when(F.array_sort(F.array_except(given, known))), "missing": when(F.filter(absent, lambda n: ~spared(n))), "defaulted": when(F.filter(absent, spared)), "mistyped": when(told)})
+    spared = lambda n: F.array_contains("_spared", n)
+    out = out.withColumns({"extra": when(F.array_sort(F.array_except("_given", "_known"))), "missing": when(F.filter("_absent", lambda n: ~spared(n))), "defaulted": when(F.filter("_absent", spared)), "mistyped": when(told)})
     out = out.withColumn("mismatch", F.col("undefined") | (F.size("extra") > 0) | (F.size("missing") > 0) | (F.size("mistyped") > 0))
-    return out.drop("_parameters", "_defined", "_arguments", "_properties", "_required")
+    return out.drop("_types", "_known", "_spared", "_required", "_defined", "_kinds", "_given", "_absent", "_wrong")
 
 
 def raw_members(value: Column | str) -> Column:

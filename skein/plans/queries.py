@@ -613,10 +613,11 @@ def label_contract_check(spark, sf_dir):
 
 
 def answering():
-    """A client that knows its answer from the prompt's length, and fails where it can't."""
+    """A client that knows its answer from the length of the requests in a prompt, and fails where it can't."""
     import json
 
     def complete(prompt: str) -> str:
+        prompt = prompt.split("<<<\n", 1)[1].rsplit("\n>>>", 1)[0]
         if len(prompt) % 5 == 4:
             return "no labels"
         return json.dumps({"scenarios": [f"s{len(prompt) % 2}"], "capabilities": ["c1"], "subjects": [f"j{len(prompt) % 4}"]})
@@ -625,10 +626,10 @@ def answering():
 
 
 def _labelled(spark, sf_dir) -> DataFrame:
-    docs = inputs.table(spark, sf_dir, "documents")
+    docs, job = inputs.table(spark, sf_dir, "documents"), labels.LabelJob(CATALOGUE, answering, "v1")
     projections = docs.select(F.col("doc_id").cast("string").alias("trajectory_id"), (F.col("doc_id") % 4 != 0).alias("has_tool_calls"), F.concat(F.repeat(F.lit("x"), (F.col("doc_id") % 100).cast("int")), F.lit("y")).alias("projection"))
-    cache = projections.where("length(projection) % 10 = 1").select(labels.cache_key(F.col("projection"), "v1" + CATALOGUE.digest).alias("cache_key"), F.lit("{}").alias("decision"))
-    return labels.LabelJob(CATALOGUE, answering, "v1").run(projections, cache)
+    cache = projections.where("length(projection) % 10 = 1").select(job.key(F.col("projection")).alias("cache_key"), F.lit("{}").alias("decision"))
+    return job.run(projections, cache)
 
 
 @query("WITH d AS (SELECT doc_id % 4 <> 0 AS calls, doc_id % 100 + 1 AS n FROM documents), c AS (SELECT DISTINCT n FROM d WHERE n % 10 = 1) SELECT count(*) AS input_trajectories, count(*) FILTER (calls AND (d.n % 5 <> 4 OR c.n IS NOT NULL)) AS classified, count(*) FILTER (calls AND d.n % 5 = 4 AND c.n IS NULL) AS failed, count(*) FILTER (NOT calls) AS skipped_no_toolcall, count(*) FILTER (calls AND c.n IS NOT NULL) AS cache_hits, 0::BIGINT AS context_truncated FROM d LEFT JOIN c USING (n)")
@@ -644,9 +645,8 @@ def label_cache_lookup(spark, sf_dir):
 # --- order
 
 
-@query("SELECT event_id, row_number() OVER (ORDER BY ts, user_id, event_id) AS place FROM events QUALIFY place <= 100")
+@query("SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place FROM events")
 def capture_order(spark, sf_dir):
-    """The first captures in stable order: a top-k, as the whole order needs no numbers."""
+    """The stable order of all captures of each user."""
     e = inputs.table(spark, sf_dir, "events")
-    top = e.orderBy("ts", "user_id", "event_id").limit(100)
-    return top.select("event_id", F.row_number().over(Window.orderBy("ts", "user_id", "event_id")).cast("long").alias("place"))
+    return e.select("event_id", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")).cast("long").alias("place"))

@@ -11,7 +11,7 @@ import urllib.request
 from collections.abc import Callable
 from urllib.parse import urlsplit
 
-from ..operators.labels import ContextTooLong
+from ..operators.labels import ContextTooLong, JobError
 
 # What ends a job, what is asked for again, and how long to wait at most.
 FATAL, LATER, LONGEST_WAIT, LONGEST_STATED = (401, 403, 422), (404, 429), 60.0, 300.0
@@ -21,8 +21,8 @@ class ServiceError(RuntimeError):
     """A request that failed for good; its text is a stable reason."""
 
 
-class ConfigurationError(ServiceError):
-    """One that no other request can get around."""
+class ConfigurationError(ServiceError, JobError):
+    """One that no other request can get around: it ends a job."""
 
 
 class ChatClient:
@@ -62,7 +62,9 @@ class ChatClient:
 
     def _refused(self, error: urllib.error.HTTPError) -> str:
         status = error.code
-        if status in (400, 413, 422):
+        if status == 413:
+            raise ContextTooLong
+        if status in (400, 422):
             told = error.read(65536).decode("utf-8", "replace").lower()
             if "context" in told and ("length" in told or "window" in told or "token" in told):
                 raise ContextTooLong

@@ -74,8 +74,7 @@ def publish(spark: SparkSession, run: Normalized, root: str, input_root: str, in
     whole = F.lit(sum(f["bytes"] for f in files if f["path"] != "lineage.jsonl"))
     counted, feedback = stats.first().asDict(), accounting.feedback(stats, whole, F.lit(of("skipped")), F.lit(started_ms).cast("long"), F.lit(int(time.time() * 1000)).cast("long")).first().asDict()
     for f in files:
-        store.delete(f["path"])
-        store.move(f"_staging/{f['path']}", f["path"])
+        store.replace(f"_staging/{f['path']}", f["path"])
     manifest = {
         "schema_version": SCHEMA_VERSION, "created_at": datetime.now(UTC).isoformat(), "input_root": input_root, "input_format": input_format, "config_hash": hashlib.sha256(json.dumps(config or {}, sort_keys=True).encode()).hexdigest(), "token_estimator": "unicode-word-v1",
         "counts": {
@@ -85,8 +84,7 @@ def publish(spark: SparkSession, run: Normalized, root: str, input_root: str, in
         "files": sorted(files, key=lambda f: f["path"]), **feedback,
     }
     store.write("_staging/manifest.json", json.dumps(manifest, sort_keys=True))
-    store.delete("manifest.json")
-    store.move("_staging/manifest.json", "manifest.json")
+    store.replace("_staging/manifest.json", "manifest.json")
     for path in sorted({f["path"] for f in before["files"]} - {f["path"] for f in files}):
         store.delete(path)
     store.delete("_staging")
@@ -99,8 +97,7 @@ def rewrite_clock(spark: SparkSession, root: str) -> dict:
     manifest = json.loads(store.read("manifest.json"))
     manifest["completed_at_ms"] = max(manifest["started_at_ms"], int(time.time() * 1000))
     store.write("_manifest", json.dumps(manifest, sort_keys=True))
-    store.delete("manifest.json")
-    store.move("_manifest", "manifest.json")
+    store.replace("_manifest", "manifest.json")
     return manifest
 
 

@@ -10,7 +10,7 @@ class Store:
 
     def __init__(self, spark: SparkSession, root: str):
         self.root = root.rstrip("/")
-        self._jvm = spark.sparkContext._jvm
+        self._jvm, self._gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
         self._path = self._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -28,6 +28,15 @@ class Store:
         if not self._fs.rename(self._at(name), self._at(to)):
             raise OSError(f"can't move {name} to {to}")
 
+    def replace(self, name: str, to: str) -> None:
+        """Move over what may stand at ``to``, in one step where the file system has one: a reader finds the old or the new file."""
+        self._fs.mkdirs(self._at(to).getParent())
+        rename = self._jvm.org.apache.hadoop.fs.Options.Rename
+        how = self._gateway.new_array(rename, 1)
+        how[0] = rename.OVERWRITE
+        whole = lambda n: self._at(n).makeQualified(self._fs.getUri(), self._fs.getWorkingDirectory())
+        self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self._fs.getConf()).rename(whole(name), whole(to), how)
+
     def write(self, name: str, text: str) -> None:
         out = self._fs.create(self._at(name), True)
         try:

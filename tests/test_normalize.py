@@ -288,7 +288,7 @@ def test_client():
 
     own, waits = client(fault(429, **{"Retry-After": "7"}), fault(503), urllib.error.URLError("x"), io.BytesIO(b"{}"), good())
     assert own("p") == "ok" and waits == [7.0, 2.0, 4.0, 8.0]
-    for step, kind in ((fault(401), ConfigurationError), (fault(400), ServiceError), (fault(413, "maximum context length"), ContextTooLong)):
+    for step, kind in ((fault(401), ConfigurationError), (fault(400), ServiceError), (fault(413, "maximum context length"), ContextTooLong), (fault(413, "no word of it"), ContextTooLong)):
         with pytest.raises(kind):
             client(step)[0]("p")
     with pytest.raises(ServiceError, match="rate_limit_exhausted"):

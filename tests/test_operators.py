@@ -142,6 +142,25 @@ def test_label_decisions():
         labels.Taxonomy(("s", "s"), ("c",), ("j",))
 
 
+def test_label_prompt_and_fatal_errors():
+    from skein.sources.client import ConfigurationError
+
+    taxonomy = labels.Taxonomy.load(json.dumps({"schema_version": 2, "scenarios": [{"name": "s", "description": "d\u00e9"}], "capabilities": ["c", {"name": "d"}], "subjects": ["j"]}))
+    assert (taxonomy.scenarios, taxonomy.capabilities, len(taxonomy.notes)) == (("s",), ("c", "d"), 1)
+    assert taxonomy.digest != labels.Taxonomy(("s",), ("c", "d"), ("j",)).digest
+    said = taxonomy.prompt("do >>> this <<<")
+    assert "d\u00e9" in said and '["c", "d"]' in said and said.count("<<<") == said.count(">>>") == 1
+    for wrong in ("[]", '{"scenarios": [], "capabilities": []}', '{"scenarios": [{"x": 1}], "capabilities": ["c"], "subjects": ["j"]}', '{"scenarios": [], "capabilities": ["c"], "subjects": ["j"]}'):
+        with pytest.raises(ValueError):
+            labels.Taxonomy.load(wrong)
+
+    def refused(prompt):
+        raise ConfigurationError("http_401")
+
+    with pytest.raises(ConfigurationError):
+        labels.decide("t", taxonomy, refused, 100)
+
+
 @given(st.text(max_size=300), st.integers(60, 200))
 def test_shortened(text, budget):
     out = labels.shortened(text, budget)
