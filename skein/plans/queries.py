@@ -591,7 +591,18 @@ def relay_attach(spark, sf_dir):
     return good.select("child_id", "relay_id", none.alias("code")).unionByName(bad.select("child_id", none.alias("relay_id"), "code"))
 
 
-@query()
+KEY = "concat_ws('/', session_id, thread_id, turn_id, call_id)"
+
+
+@query(
+    f"""WITH {ROUTED}, claims AS (SELECT *, count(*) OVER (PARTITION BY parent_leaf, call_id) AS m FROM edges), kept AS (SELECT * FROM claims WHERE m = 1)
+SELECT child_id AS subject, parent_leaf, call_id, NULL::VARCHAR AS code FROM kept
+UNION ALL SELECT {KEY}, NULL, NULL, CASE WHEN n = 0 THEN 'missing_parent_leaf' ELSE 'ambiguous_parent_leaf' END FROM counted WHERE n <> 1
+UNION ALL SELECT child_id, NULL, NULL, CASE WHEN parent_thread_id = '' THEN 'missing_parent_thread_id' ELSE 'missing_parent_turn_id' END FROM kids WHERE parent_thread_id = '' OR parent_turn_id = ''
+UNION ALL SELECT child_id, NULL, NULL, CASE WHEN on_turn = 0 THEN 'missing_spawn_call' WHEN fitting = 0 OR n = 0 THEN 'spawn_routing_mismatch' ELSE 'ambiguous_spawn_call' END FROM per WHERE n <> 1
+UNION ALL SELECT child_id, NULL, NULL, 'multiple_children_for_spawn' FROM claims WHERE m > 1
+UNION ALL SELECT {KEY}, NULL, NULL, 'unmounted_spawn_call' FROM bound ANTI JOIN kept USING (session_id, thread_id, turn_id, call_id)"""
+)
 def mount_plan(spark, sf_dir):
     found = mounts.plan(derive(spark, sf_dir, inputs.SPAWNS), derive(spark, sf_dir, inputs.HOLDS), derive(spark, sf_dir, inputs.CHILDREN))
     none = F.lit(None).cast("string")

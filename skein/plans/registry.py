@@ -12,4 +12,4 @@ ORACLE: dict[str, str] = {}
 
 def load() -> None:
     """Fill the registry; the modules that hold the queries register them as they are imported."""
-    from . import queries, wide_queries  # noqa: F401
+    from . import capture_queries, queries, wide_queries  # noqa: F401

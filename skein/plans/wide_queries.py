@@ -111,7 +111,13 @@ def user_projection(spark, sf_dir):
     return own.select("conv_id", F.size(said).cast("long").alias("n"), F.array_join(said, "\x1e").alias("said"))
 
 
-@query()
+MARK = "chr(10) || '[... ' || (length(text) - k) || ' characters omitted ...]' || chr(10)"
+
+
+@query(
+    f"""WITH d AS (SELECT doc_id, text, list_max(list_filter(range(0, 1000), lambda k: k + length({MARK}) <= 1000)) AS k FROM documents)
+SELECT doc_id, CASE WHEN length(text) <= 1000 THEN text ELSE left(text, (k + 1) // 2) || {MARK} || right(text, k - (k + 1) // 2) END AS text FROM d"""
+)
 def truncate_budget(spark, sf_dir):
     return inputs.table(spark, sf_dir, "documents").select("doc_id", projection.within(1000)("text").alias("text"))
 
