@@ -20,9 +20,9 @@ WINDOW, END = 2048, 1
 #: Rows and bytes of a shard at most.
 SHARD_ROWS, SHARD_BYTES = 1024, 32 << 20
 K1, B = 1.2, 0.75
-#: Dimensions of the sketch by which rows of like content come to one shard, rows to which its tree is fitted and those of
-#: them in a cell at least, and bits that order the rows of a cell.
-SKETCH, SAMPLE, SAMPLE_CELL, BITS = 16, 16_384, 16, 62
+#: Dimensions of the sketch by which rows of like content come to one shard, rows to which its weights and its tree are
+#: fitted and those of them in a cell at least, and bits that order the rows of a cell.
+SKETCH, SAMPLE, SAMPLE_CELL, BITS = 16, 4096, 8, 62
 #: A run of white space this long is more than the regular expressions of ``tiktoken`` stand.
 LONG_BLANK = re.compile(r"\s{50000}")
 
@@ -58,22 +58,68 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _tokenized(path: str, window: int, end: int):
-    names = ["doc_id", "doc_tokens", "full", "tail", "terms"]
+class Places:
+    """Where documents stand among others: their BM25 weights, with the idf of a sample, projected to SKETCH dimensions, in
+    which a kd-tree of the sample has cells and hyperplanes order what is in one."""
+
+    def __init__(self, documents: list[np.ndarray], rows: int, shard_rows: int):
+        seen = [np.unique(d, return_counts=True) for d in documents]
+        size = max((int(ids[-1]) for ids, _ in seen), default=0) + 1
+        held = np.bincount(np.concatenate([ids for ids, _ in seen]), minlength=size) if seen else np.zeros(1)
+        self.idf, self.mean = idf_of(held, len(seen)), float(np.mean([len(d) for d in documents])) if documents else 1.0
+        self.ready = False
+        points = np.array([self.sketch(ids, n, len(d)) for (ids, n), d in zip(seen, documents, strict=True)]).reshape(-1, SKETCH)
+        self.tree = Tree(points, min(-(-rows // shard_rows), len(points) // SAMPLE_CELL))
+
+    def __getstate__(self) -> dict:
+        return {"idf": self.idf, "mean": self.mean, "tree": self.tree, "ready": False}
+
+    def sketch(self, ids: np.ndarray, count: np.ndarray, length: int) -> np.ndarray:
+        if not self.ready:
+            self.axes = np.random.default_rng(7).normal(size=(len(self.idf) + 1, SKETCH)).astype(np.float32)
+            self.weight = np.append(self.idf, self.idf.max())  # of a token that the sample lacks
+            self.planes = np.random.default_rng(8).normal(size=(SKETCH, BITS))
+            self.ready = True
+        ids = np.minimum(ids, len(self.idf))
+        out = (self.weight[ids] * weights(count, length, self.mean)) @ self.axes[ids]
+        return out / max(float(np.linalg.norm(out)), 1e-12)
+
+    def place(self, sketches: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The cell of each sketch and its bits."""
+        points = np.array(sketches).reshape(-1, SKETCH)
+        return self.tree.place(points), (points @ self.planes > 0) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
+
+
+def _tokenized(path: str, window: int, end: int, places):
+    """Documents as tokens, with their place; the last row of a task, of -1 tokens, says in how many of its documents each token
+    occurs, for which the ids of a vocabulary are a bound."""
+    names = ["doc_id", "doc_tokens", "full", "tail", "terms", "cell", "bits"]
+    types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(path)
+        encode, where = _encoder(path), places.value
+        held = np.zeros(0, np.int64)
         for batch in (x for whole in batches for x in slices(whole)):
-            n, full, tail, terms = [], [], [], []
+            n, full, tail, terms, sketches = [], [], [], [], []
             for text in batch.column("text"):
                 ids = np.array([*encode(text.as_py() or ""), end], "<u4")
                 cut = len(ids) // window * window
                 n.append(len(ids))
                 full.append([zlib.crc32(ids[a : a + window].tobytes()) for a in range(0, cut, window)])
                 tail.append(ids[cut:].tobytes())
-                terms.append(np.concatenate(np.unique(ids, return_counts=True)).astype("<u4").tobytes() if cut else None)
-            types = (pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, t) for x, t in zip((n, full, tail, terms), types, strict=True))], names)
+                own, count = np.unique(ids, return_counts=True)
+                terms.append(np.concatenate([own, count]).astype("<u4").tobytes() if cut else None)
+                if own[-1] >= len(held):
+                    held = np.concatenate([held, np.zeros(int(own[-1]) + 1 - len(held), np.int64)])
+                held[own] += 1
+                sketches.append(where.sketch(own, count, len(ids)))
+            if sketches:
+                columns_ = batch.column("doc_id"), n, full, tail, terms, *where.place(sketches)
+                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(columns_, types, strict=True)], names)
+        at = np.flatnonzero(held)
+        if len(at):
+            told = np.concatenate([at, held[at]]).astype("<i8").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((None, -1, [], b"", told, 0, 0), types, strict=True)], names)
 
     return run
 
@@ -87,16 +133,14 @@ def counted(tail: bytes, terms: bytes | None) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many documents each token occurs; the ids of a vocabulary bound what is held."""
-    held = np.zeros(0, np.int64)
     for batch in batches:
-        for tail, terms in zip(batch.column("tail").to_pylist(), batch.column("terms").to_pylist(), strict=True):
-            own = counted(tail, terms)[0]
-            if len(own) and own[-1] >= len(held):
-                held = np.concatenate([held, np.zeros(int(own[-1]) + 1 - len(held), np.int64)])
-            held[own] += 1
-    at = np.flatnonzero(held)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], ["token", "n"])
+        for told in batch.column("terms").to_pylist():
+            both = np.frombuffer(told, "<i8")
+            yield pa.RecordBatch.from_arrays([pa.array(both[: len(both) // 2]), pa.array(both[len(both) // 2 :])], ["token", "n"])
+
+
+def idf_of(held: np.ndarray, n: int) -> np.ndarray:
+    return np.log1p((n - held + 0.5) / (held + 0.5))
 
 
 def weights(count: np.ndarray, length, mean: float) -> np.ndarray:
@@ -104,35 +148,6 @@ def weights(count: np.ndarray, length, mean: float) -> np.ndarray:
     return count * (K1 + 1) / (count + K1 * (1 - B + B * length / max(mean, 1)))
 
 
-def _sketches(idf: np.ndarray, mean: float):
-    """The rows with ``sketch``: their BM25 weights, projected to SKETCH dimensions, as a unit vector."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        axes = np.random.default_rng(7).normal(size=(len(idf), SKETCH)).astype(np.float32)
-        for batch in batches:
-            out = np.zeros((len(batch), SKETCH))
-            for k, (tail, terms, n) in enumerate(zip(batch.column("tail").to_pylist(), batch.column("terms").to_pylist(), batch.column("doc_tokens").to_pylist(), strict=True)):
-                ids, count = counted(tail, terms)
-                out[k] = (idf[ids] * weights(count, n, mean)) @ axes[ids]
-            out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.FixedSizeListArray.from_arrays(pa.array(out.ravel()), SKETCH).cast(pa.list_(pa.float64()))], ["row", "sketch"])
-
-    return run
-
-
-def _placed(idf: np.ndarray, mean: float, tree):
-    """The rows with their cell and the bits of their sketch, by which like ones come to stand together."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes = np.random.default_rng(8).normal(size=(SKETCH, BITS))
-        for batch in batches:
-            points = next(_sketches(idf, mean)([batch])).column("sketch").flatten().to_numpy().reshape(-1, SKETCH)
-            bits = (points @ planes > 0) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tree.value.place(points)), pa.array(bits)], [*batch.schema.names, "cell", "bits"])
-
-    return run
-
-
 class Index:
     """A BM25 inverted index over the documents of one shard: postings by token, with the weight that each adds."""
 
@@ -163,8 +178,13 @@ def fill(tails: list[np.ndarray], idf: np.ndarray, mean: float, window: int = WI
     """
     left = np.array([len(t) for t in tails])
     taken = np.zeros(len(tails), np.int64)
-    index = Index(terms or [np.unique(t, return_counts=True) for t in tails], lengths or left.tolist(), idf, mean)
-    out = []
+    terms, lengths = terms or [np.unique(t, return_counts=True) for t in tails], lengths or left.tolist()
+
+    def indexed(rows: np.ndarray) -> Index:
+        return Index([terms[r] for r in rows], [lengths[r] for r in rows], idf, mean)
+
+    rows = np.arange(len(tails))
+    index, out = indexed(rows), []
     for seed in range(len(tails)):
         while left[seed]:
             pieces, room = [], window
@@ -180,7 +200,13 @@ def fill(tails: list[np.ndarray], idf: np.ndarray, mean: float, window: int = WI
             take(seed)
             unused = np.flatnonzero(left)
             if room and len(unused):
-                scores = index.scores(seed)[unused]
+                if 2 * len(unused) < len(rows):  # what is used up needs no postings
+                    rows = np.union1d(unused, [seed])
+                    index = indexed(rows)
+                elif not left[seed] and rows[min(np.searchsorted(rows, seed), len(rows) - 1)] != seed:
+                    rows = np.union1d(unused, [seed])
+                    index = indexed(rows)
+                scores = index.scores(int(np.searchsorted(rows, seed)))[np.searchsorted(rows, unused)]
                 while room and len(unused):
                     # the best few at a time: a window seldom needs more
                     few = min(len(unused), 16)
@@ -244,23 +270,28 @@ def dealt(docs: DataFrame, path: str | None = None, window: int = WINDOW, end: i
     length: what shards are cut from."""
     spark = docs.sparkSession
     docs = columns(docs, doc_id="long", text="string")
-    rows = docs.mapInArrow(_tokenized(path or vocabulary(), window, end), "doc_id long, doc_tokens long, full array<long>, tail binary, terms binary")
-    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "tokens")
-    shape = rows.agg(F.count("*").alias("n"), F.avg("doc_tokens").alias("mean")).first()
-    found = rows.select("tail", "terms").mapInArrow(_frequencies, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
-    n, mean = shape["n"], shape["mean"] or 0.0
+    n, path = docs.count(), path or vocabulary()
+    some = docs.select("text").sample(min(1.0, SAMPLE / n), 7).limit(2 * SAMPLE) if n > shard_rows else docs.select("text").limit(0)
+    encoded = some.mapInArrow(_ids(path), "ids binary").toArrow().column("ids").to_pylist()
+    places = spark.sparkContext.broadcast(Places([np.frombuffer(x, "<u4") for x in encoded if x], n, shard_rows))
+    kind = "doc_id long, doc_tokens long, full array<long>, tail binary, terms binary, cell long, bits long"
+    rows = stored(docs.mapInArrow(_tokenized(path, window, end, places), kind).withColumn("row", F.monotonically_increasing_id()), "tokens")
+    found = rows.where("doc_tokens < 0").select("terms").mapInArrow(_frequencies, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
+    rows = rows.where("doc_tokens >= 0")
+    mean = rows.agg(F.avg("doc_tokens")).first()[0] or 0.0
     seen = np.zeros(int(found["token"].max()) + 1 if len(found) else 1)
     seen[found["token"].to_numpy(np.int64)] = found["n"].to_numpy()
-    idf = np.log1p((n - seen + 0.5) / (seen + 0.5))
-    sample = np.zeros((0, SKETCH))
-    if n > shard_rows:
-        some = rows.where(F.pmod(F.xxhash64("row"), F.lit(1 << 40)) < int(min(1.0, SAMPLE / n) * (1 << 40)))
-        sample = some.select("row", "tail", "terms", "doc_tokens").mapInArrow(_sketches(idf, mean), "row long, sketch array<double>").toPandas().sort_values("row")
-        sample = np.stack(sample["sketch"].to_list()) if len(sample) else np.zeros((0, SKETCH))
-    tree = spark.sparkContext.broadcast(Tree(sample, min(-(-n // shard_rows), len(sample) // SAMPLE_CELL)))
-    placed = rows.mapInArrow(_placed(idf, mean, tree), rows.schema.simpleString()[7:-1].replace(":", " ") + ", cell long, bits long")
     order = ["cell", "bits", "row"]
-    return placed.repartitionByRange(*order).sortWithinPartitions(*order), idf, mean
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order), idf_of(seen, n), mean
+
+
+def _ids(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = _encoder(path)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([np.array(encode(t or ""), "<u4").tobytes() for t in batch.column("text").to_pylist()], pa.binary())], ["ids"])
+
+    return run
 
 
 def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end: int = END, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -270,8 +301,8 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end: in
     A document is its tokens, then ``end``. Its full windows are sequences of their own; its tail is packed with others. The
     BM25 index holds the tokens of whole documents, a seed asks with all of its own, and document frequencies and the mean
     length are those of the corpus. The index is cut into shards of at most ``shard_rows`` rows: rows are sorted by
-    content (the cell of a kd-tree over sketches of their BM25 weights, fitted to some SAMPLE of them, then the bits of their
-    sketch), so a seed's neighbours stand in its shard, and copies, however many, fill as many shards as they need. In
+    content (the cell of a kd-tree over sketches of their BM25 weights, both fitted to some SAMPLE of them, then the bits of
+    their sketch), so a seed's neighbours stand in its shard, and copies, however many, fill as many shards as they need. In
     a shard, :func:`fill` has unused neighbours fill each seed's window. All sequences but one a shard are full.
 
     Null text counts as empty (one token); null ids pass through; rows that repeat are packed one by one; an empty
