@@ -17,8 +17,8 @@ SHARED, REACH, HIDDEN, STEPS = 16, 2, 24, 32
 #: Count from which a word has a token of its own; in large corpora that is the root of their words over ROOT.
 LEAST, ROOT = 5, 100
 #: Tokens of a step, parts of the corpus between which models are averaged, sweeps over a part at most, and tokens of the
-#: texts that one task trains on, as each task returns a network.
-BATCH, ROUNDS, SWEEPS, TASK_TOKENS = 1 << 17, 2, 8, 1 << 23
+#: texts that one task trains on, in all and for each row of the network that it returns.
+BATCH, ROUNDS, SWEEPS, TASK_TOKENS, ROW_TOKENS = 1 << 17, 2, 8, 1 << 23, 32
 HASHES_AT_ONCE = 1_000_000
 #: Tokens that a step works on at once, so that their rows stay in the cache.
 ROWS_AT_ONCE = 1 << 13
@@ -201,21 +201,24 @@ def _train_part(known, shared: int, par, sweeps: int, rate: float):
             for _ in range(sweeps):
                 for k in range(0, len(ids), BATCH):
                     net.walk(around[:, k : k + BATCH], ids[k : k + BATCH], rate)
-        # for each run of rows its weights, then how far each row moved times its weight
+        # for each run of rows their weights, then how far each row moved, in half precision
         for k in range(0, len(net.par), ROWS_AT_ONCE):
             at = slice(k, k + ROWS_AT_ONCE)
             if net.moved[at].any():
-                moved = (net.par[at] - par.value[at]) * net.moved[at, None]
-                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([net.moved[at].tobytes() + moved.tobytes()], pa.binary())], ["row", "moved"])
+                moved = (net.par[at] - par.value[at]).astype(np.float16)
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([net.moved[at].tobytes()], pa.binary()), pa.array([moved.tobytes()], pa.binary())], ["row", "weight", "moved"])
 
     return run
 
 
 def _averaged(width: int):
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = sum(np.frombuffer(x, np.float32).astype(np.float64) for batch in batches for x in batch.column("moved").to_pylist())
-        n = len(total) // (width + 1)
-        mean = total[n:].reshape(n, width) / np.maximum(total[:n], 1e-30)[:, None]
+        weight, total = np.zeros(1), np.zeros(1)
+        for batch in batches:
+            for w, x in zip(batch.column("weight").to_pylist(), batch.column("moved").to_pylist(), strict=True):
+                own = np.frombuffer(w, np.float32).astype(np.float64)
+                weight, total = weight + own, total + own[:, None] * np.frombuffer(x, np.float16).reshape(-1, width)
+        mean = total / np.maximum(weight, 1e-30)[:, None]
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()]), pa.array([mean.astype(np.float32).tobytes()], pa.binary())], ["row", "moved"])
 
     return run
@@ -227,16 +230,16 @@ def train_parts(texts: DataFrame, known: np.ndarray, counts: np.ndarray, hidden:
     spark, par = texts.sparkSession, untrained(counts, hidden)
     sweeps = int(min(SWEEPS, max(1, -(-steps * BATCH // max(counts.sum(), 1)))))
     words_at = spark.sparkContext.broadcast(known)
-    tasks = max(spark.sparkContext.defaultParallelism, int(counts.sum()) // TASK_TOKENS)
+    tasks = max(spark.sparkContext.defaultParallelism, int(counts.sum()) // max(TASK_TOKENS, ROW_TOKENS * len(par)))
     for part in range(ROUNDS):
         held = spark.sparkContext.broadcast(par)
         own = texts.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == part).coalesce(tasks)
-        moved = own.mapInArrow(_train_part(words_at, len(counts) - len(known), held, sweeps, rate), "row long, moved binary")
+        moved = own.mapInArrow(_train_part(words_at, len(counts) - len(known), held, sweeps, rate), "row long, weight binary, moved binary")
         moved = moved.groupBy("row").applyInArrow(_averaged(hidden + 1), "row long, moved binary").toArrow()
         par = par.copy()
         for k, x in zip(moved.column("row").to_pylist(), moved.column("moved").to_pylist(), strict=True):
             par[k : k + ROWS_AT_ONCE] += np.frombuffer(x, np.float32).reshape(-1, hidden + 1)
-        held.unpersist()
+        held.destroy()
     return par
 
 
@@ -281,9 +284,9 @@ def letters(code: np.ndarray, n: np.ndarray, kept: float = 4.0) -> np.ndarray:
     return np.log(three, out=three).ravel()
 
 
-def _score_all(known, shared: int, par, letter):
+def _score_all(known, shared: int, par, counted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Vocabulary(known.value, shared)
+        own, letter = Vocabulary(known.value, shared), letters(*counted.value)
         net = Network(own.size, par.value)
         for batch in (x for whole in batches for x in slices(whole)):
             ids, at = tokens(batch.column("text"), own)
@@ -295,7 +298,7 @@ def _score_all(known, shared: int, par, letter):
             if len(rare):
                 code = spelt(batch.column("text"), rare)
                 ends = np.flatnonzero(code & 255 == 32)
-                sums = np.concatenate(([0.0], np.cumsum(letter.value[code], dtype=np.float64)[ends]))
+                sums = np.concatenate(([0.0], np.cumsum(letter[code], dtype=np.float64)[ends]))
                 said[rare] += np.diff(sums) + np.log(shared)
             yield _scored(batch.column("doc_id"), np.concatenate(([0.0], np.cumsum(said))), at)
 
@@ -336,7 +339,7 @@ def score_documents(docs: DataFrame, shared: int = SHARED, hidden: int = HIDDEN,
     counts = np.concatenate([n, np.full(shared, (total - n.sum()) / shared)])
     words_at = spark.sparkContext.broadcast(known)
     three = docs.select("text").mapInArrow(_spelling(words_at, shared), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
-    letter = spark.sparkContext.broadcast(letters(three.column("code").to_numpy(), three.column("n").to_numpy()))
+    letter = spark.sparkContext.broadcast((three.column("code").to_numpy(), three.column("n").to_numpy()))
     par = spark.sparkContext.broadcast(train_parts(docs.select("text").where("text IS NOT NULL"), known, counts, hidden, steps))
     return docs.mapInArrow(_score_all(words_at, shared, par, letter), SCORES)
 
