@@ -25,6 +25,55 @@ def result_names(results: DataFrame, calls: DataFrame) -> DataFrame:
     return after.groupBy("capture_id", "call_id").agg(F.countDistinct("task_name").alias("names"), F.min("task_name").alias("agent_name")).withColumn("agent_name", F.when(F.col("names") == 1, F.col("agent_name")))
 
 
+def spawn_evidence(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Events of the spawn calls that responses made, one for each turn and call, and ``(session_id, thread_id, turn_id,
+    call_id, code)`` of what they lack.
+
+    ``calls(session_id, thread_id, turn_id, call_id, name, arguments, names)``, ``names`` being the task names that results give.
+    A call without turn or id is no event; arguments that are no object name no task; a call that replays tell differently is
+    not used; several names of its agent are none."""
+    lacks = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    is_object = F.startswith(F.trim("arguments"), F.lit("{")) & F.try_parse_json("arguments").isNotNull()
+    told = calls.withColumns({"bare": lacks("turn_id") | lacks("call_id"), "whole": F.coalesce(is_object, F.lit(False)), "names": F.array_distinct(F.coalesce("names", F.array().cast("array<string>")))})
+    told = told.withColumn("task_name", F.when(F.col("whole"), F.coalesce(F.get_json_object("arguments", "$.task_name"), F.lit(""))).otherwise(""))
+    told = told.withColumn("signature", F.struct(F.when(F.col("whole"), F.col("arguments")).otherwise("{}"), "task_name", "name"))
+    per = told.where("NOT bare").groupBy(*EVENT).agg(F.min("signature").alias("low"), F.max("signature").alias("high"), F.min("task_name").alias("task_name"), F.min("arguments").alias("arguments"), F.array_distinct(F.flatten(F.collect_set("names"))).alias("names"))
+    agent = F.when(F.size("names") == 1, F.col("names")[0]).otherwise("")
+    events = per.where("low = high").select(*EVENT, "arguments", "task_name", agent.alias("agent_name"))
+    codes = F.array_compact(F.array(
+        F.when(lacks("turn_id"), "spawn_missing_turn_id").when(lacks("call_id"), "spawn_missing_call_id"),
+        F.when(~F.col("bare") & ~F.col("whole"), "malformed_spawn_arguments"),
+        F.when(~F.col("bare") & (F.size("names") > 1), "conflicting_spawn_agent_name"),
+    ))
+    bad = told.select(*EVENT, F.explode(codes).alias("code")).distinct()
+    return events, bad.unionByName(per.where("low <> high").select(*EVENT, F.lit("conflicting_spawn_evidence").alias("code")))
+
+
+def admitted(children: DataFrame, evidence: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The children whose linkage is whole and says the same everywhere, and ``(child_id, code)`` of all others.
+
+    ``children(child_id, session_id, thread_id, subagent_marker, parent_thread_id, parent_turn_id, forked_from_thread_id,
+    said_parent_thread_id, said_parent_turn_id, said_forked_from_thread_id)``, where ``said_`` is what the marker states;
+    ``evidence`` the linkage of all linked captures of their threads."""
+    fields = ("parent_thread_id", "parent_turn_id", "forked_from_thread_id", "subagent_marker")
+    plain = lambda c: F.coalesce(F.col(c), F.lit(""))
+    varied = evidence.groupBy("session_id", "thread_id").agg(*[(F.min(plain(f)) != F.max(plain(f))).alias(f"varied_{f}") for f in fields])
+    own = children.join(varied, ["session_id", "thread_id"], "left")
+    unlike = F.lit(False)
+    for f in fields[:3]:
+        unlike = unlike | ((plain(f"said_{f}") != "") & (plain(f"said_{f}") != plain(f)))
+    several = lambda f: F.coalesce(F.col(f"varied_{f}"), F.lit(False))
+    codes = F.array_compact(F.array(
+        F.when(plain("subagent_marker") == "", "missing_subagent_marker"),
+        F.when(plain("parent_thread_id") == "", "missing_parent_thread_id"),
+        F.when(plain("parent_turn_id") == "", "missing_parent_turn_id"),
+        F.when(unlike | several("subagent_marker"), "conflicting_marker_metadata"),
+        F.when(several(fields[0]) | several(fields[1]) | several(fields[2]), "conflicting_parent_thread"),
+    ))
+    told = settled(own.withColumn("codes", codes).drop(*[f"varied_{f}" for f in fields]))
+    return told.where("size(codes) = 0").drop("codes"), told.select("child_id", F.explode("codes").alias("code"))
+
+
 def bind_parents(events: DataFrame, contains: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Events with the one leaf of their thread that holds the call, and ``(event key, code, n)`` of all others."""
     held = contains.select("leaf_id", "session_id", "thread_id", "call_id", F.col("arguments").alias("held")).distinct()
@@ -54,7 +103,8 @@ def route_children(children: DataFrame, bound: DataFrame) -> tuple[DataFrame, Da
     """``(child_id, event key, parent_leaf)`` of children that one event fits, and ``(child_id, code)`` of all others.
 
     Events of the parent's turn are narrowed by the marker's call id, then its task, each only where the child states
-    it. If a recipient is stated, those whose agent has that name fit, else those without a name whose task is its last part.
+    it. A marker without structure (``opaque``) that is the call id or task of some of several events leaves those. If a
+    recipient is stated, those whose agent has that name fit, else those without a name whose task is its last part.
     """
     required = F.when(F.coalesce("parent_thread_id", F.lit("")) == "", "missing_parent_thread_id").when(F.coalesce("parent_turn_id", F.lit("")) == "", "missing_parent_turn_id")
     told = children.withColumn("code", required)
@@ -66,6 +116,9 @@ def route_children(children: DataFrame, bound: DataFrame) -> tuple[DataFrame, Da
     tier = F.when(~stated("recipient") | (F.col("recipient") == F.col("agent_name")), 0).when(~stated("agent_name") & (base_name(F.col("recipient")) == F.col("task_name")), 1)
     own = F.struct("session_id", F.col("parent_thread_id").alias("thread_id"), F.col("parent_turn_id").alias("turn_id"), "call_id", "parent_leaf")
     pairs = pairs.withColumn("tier", F.when(fits, tier))
+    if "opaque" in children.columns:
+        exact = fits & ~stated("marker_call_id") & ~stated("marker_task") & stated("opaque") & ((F.trim("opaque") == F.col("call_id")) | (F.trim("opaque") == F.col("task_name")))
+        pairs = pairs.withColumn("named", F.max(F.coalesce(exact, F.lit(False))).over(Window.partitionBy("child_id"))).withColumn("tier", F.when(~F.col("named") | exact, F.col("tier")))
     # one pass: of each tier how many events fit, and the only one if there is no other
     per = pairs.groupBy("child_id").agg(
         F.count("call_id").alias("on_turn"),

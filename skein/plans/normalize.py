@@ -102,20 +102,24 @@ def normalize_snapshots(parsed: DataFrame) -> Normalized:
     defined = definitions.groupBy("node_id").agg(F.sum(estimated_tokens(F.col("name")) + estimated_tokens(F.col("description")) + estimated_tokens(visible_json("parameters"))).alias("definition_tokens"))
     late = quality.trailing_unanswered(messages, defects.where("code = 'missing_tool_result'")).withColumn("trailing_unanswered_call", F.lit(True))
 
-    events = _spawn_events(kept)
+    events, evidence = mounts.spawn_evidence(_spawn_calls(kept))
+    evidence = settled(evidence)
     holds = calls.where(names.is_spawn(F.col("name"))).join(leaves.select(F.col("leaf_id").alias("node_id"), "session_id", "thread_id"), "node_id").select(F.col("node_id").alias("leaf_id"), "session_id", "thread_id", "call_id", "arguments")
     linked = F.greatest(*[F.coalesce(F.length(c), F.lit(0)) for c in ("subagent_marker", "parent_thread_id", "parent_turn_id", "forked_from_thread_id")]) > 0
     kids = leaves.where(linked)
     chosen, _ = mounts.longest_children(kids.select("leaf_id", "session_id", "thread_id", F.size("tokens").alias("length"), F.concat_ws("\x1f", *ORDER).alias("leaf_key")))
     told = markers.marker(F.col("subagent_marker"))
     children = kids.join(chosen.select("leaf_id"), "leaf_id", "left_semi").select(
-        F.col("leaf_id").alias("child_id"), "session_id", "parent_thread_id", "parent_turn_id",
-        told["spawn_call_id"].alias("marker_call_id"), told["task_name"].alias("marker_task"), _recipient().alias("recipient"),
+        F.col("leaf_id").alias("child_id"), "session_id", "thread_id", "parent_thread_id", "parent_turn_id", "forked_from_thread_id", "subagent_marker",
+        *[told[f].alias(f"said_{f}") for f in ("parent_thread_id", "parent_turn_id", "forked_from_thread_id")],
+        told["spawn_call_id"].alias("marker_call_id"), told["task_name"].alias("marker_task"), told["opaque"].alias("opaque"), _recipient().alias("recipient"),
     )
+    children, refused = mounts.admitted(children, kept.where(linked).select("session_id", "thread_id", "parent_thread_id", "parent_turn_id", "forked_from_thread_id", "subagent_marker"))
     mounted = mounts.plan(events, holds, children)
     edges = settled(mounted["edges"].select("child_id", "parent_leaf", "call_id"))
-    concerned = mounts.affected_leaves(mounted["unbound"].select("code", "session_id", F.col("thread_id").alias("parent_thread_id"), F.lit(None).cast("string").alias("child_thread_id")), leaves.select("leaf_id", "session_id", "thread_id"))
-    failed = mounted["diagnostics"].select(F.col("subject").alias("node_id"), "code").unionByName(mounted["unmounted"].select(F.col("parent_leaf").alias("node_id"), F.lit("unmounted_spawn_call").alias("code"))).unionByName(concerned.select(F.col("leaf_id").alias("node_id"), "code"))
+    unsure = mounted["unbound"].select("code", "session_id", "thread_id").unionByName(evidence.select("code", "session_id", "thread_id"))
+    concerned = mounts.affected_leaves(unsure.select("code", "session_id", F.col("thread_id").alias("parent_thread_id"), F.lit(None).cast("string").alias("child_thread_id")), leaves.select("leaf_id", "session_id", "thread_id"))
+    failed = mounted["diagnostics"].select(F.col("subject").alias("node_id"), "code").unionByName(refused.select(F.col("child_id").alias("node_id"), "code")).unionByName(mounted["unmounted"].select(F.col("parent_leaf").alias("node_id"), F.lit("unmounted_spawn_call").alias("code"))).unionByName(concerned.select(F.col("leaf_id").alias("node_id"), "code"))
     failed = failed.groupBy("node_id").agg(F.array_sort(F.collect_set("code")).alias("mount_codes"))
     spawned = calls.where(names.is_spawn(F.col("name"))).groupBy("node_id").agg(F.count("*").alias("spawn_calls"), F.countDistinct("call_id").alias("spawn_ids"))
     subs = edges.groupBy(F.col("parent_leaf").alias("node_id")).agg(F.count("*").alias("mounted_subs"), F.array_sort(F.collect_set("child_id")).alias("children"))
@@ -192,13 +196,14 @@ def _recipient() -> Column:
     return F.when(F.size(own) == 1, own[0]).otherwise("")
 
 
-def _spawn_events(kept: DataFrame) -> DataFrame:
-    calls = kept.where("turn_id <> ''").select("session_id", "thread_id", "turn_id", F.explode("response").alias("m")).select("session_id", "thread_id", "turn_id", F.explode("m.tool_calls").alias("c"))
-    calls = calls.where(names.is_spawn(F.col("c.name"))).select("session_id", "thread_id", "turn_id", F.col("c.id").alias("call_id"), F.col("c.arguments").alias("arguments")).dropDuplicates(["session_id", "thread_id", "turn_id", "call_id"])
-    asked = kept.select("session_id", "thread_id", "source_path", F.posexplode(F.concat("history", "response")).alias("pos", "m"))
-    results = asked.where("m.role = 'tool'").where(names.is_spawn(F.col("m.name"))).select("session_id", "thread_id", F.col("m.tool_call_id").alias("call_id"), F.get_json_object("m.content", "$.task_name").alias("task"))
-    agents = results.where("task <> ''").groupBy("session_id", "thread_id", "call_id").agg(F.when(F.countDistinct("task") == 1, F.min("task")).alias("agent_name"))
-    return calls.join(agents, ["session_id", "thread_id", "call_id"], "left").select(*mounts.EVENT, "arguments", F.coalesce(F.get_json_object("arguments", "$.task_name"), F.lit("")).alias("task_name"), F.coalesce("agent_name", F.lit("")).alias("agent_name"))
+def _spawn_calls(kept: DataFrame) -> DataFrame:
+    """The spawn calls of all responses, with the task names that results after such calls give them."""
+    calls = kept.select("session_id", "thread_id", "turn_id", F.explode("response").alias("m")).select("session_id", "thread_id", "turn_id", F.explode("m.tool_calls").alias("c"))
+    calls = calls.where(names.is_spawn(F.col("c.name"))).select("session_id", "thread_id", "turn_id", F.col("c.id").alias("call_id"), F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments"))
+    asked = kept.select("session_id", "thread_id", F.explode(F.concat("history", "response")).alias("m"))
+    results = asked.where("m.role = 'tool'").where(names.is_spawn(F.col("m.name"))).select("session_id", "thread_id", F.col("m.tool_call_id").alias("call_id"), F.col("m.name").alias("name"), F.get_json_object("m.content", "$.task_name").alias("task"))
+    agents = results.where("task <> ''").groupBy("session_id", "thread_id", "call_id", "name").agg(F.collect_set("task").alias("names"))
+    return calls.join(agents, ["session_id", "thread_id", "call_id", "name"], "left")
 
 
 def normalize(spark: SparkSession, root: str, source: str, work: str, resume: bool = False) -> Normalized:

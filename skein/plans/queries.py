@@ -542,6 +542,41 @@ def mount_cycles(spark, sf_dir):
     return mounts.cycles(derive(spark, sf_dir, inputs.EDGES))
 
 
+#: Spawn calls of responses, some without turn or id, with arguments that are no object, told twice, or of several agents.
+TOLD = f"""SELECT 's' || CAST(node_id % 50 AS STRING) AS session_id, 't' || CAST(node_id % 3 AS STRING) AS thread_id, CASE WHEN supp % 13 = 0 THEN '' ELSE 'r' || CAST(node_id AS STRING) END AS turn_id, CASE WHEN supp % 11 = 0 THEN '' ELSE 'k' || CAST(line % 3 AS STRING) END AS call_id,
+  'Agent' AS name, CASE WHEN supp % 7 = 0 THEN '[1]' ELSE '{{"task_name":"n' || CAST(line % 3 AS STRING) || CASE WHEN part % 9 = 0 THEN 'x' ELSE '' END || '"}}' END AS arguments, CASE WHEN supp % 5 = 0 THEN '' WHEN supp % 5 = 1 THEN '/a' ELSE '/a,/b' END AS listed FROM ({inputs.LINES}) AS lines"""
+
+
+@query(
+    f"""WITH c AS (SELECT *, turn_id = '' OR call_id = '' AS bare, arguments LIKE '{{%' AS whole FROM ({TOLD})), t AS (SELECT *, CASE WHEN whole THEN json_extract_string(arguments, '$.task_name') ELSE '' END AS task FROM c),
+per AS (SELECT session_id, thread_id, turn_id, call_id, count(DISTINCT CASE WHEN whole THEN arguments ELSE '{{}}' END) AS told, min(task) AS task, count(DISTINCT n) FILTER (n <> '') AS agents, min(n) FILTER (n <> '') AS agent FROM t, LATERAL (SELECT unnest(string_split(listed, ',')) AS n) WHERE NOT bare GROUP BY 1, 2, 3, 4)
+SELECT session_id, thread_id, turn_id, call_id, task AS task_name, CASE WHEN agents = 1 THEN agent ELSE '' END AS agent_name, NULL::VARCHAR AS code FROM per WHERE told = 1
+UNION ALL SELECT session_id, thread_id, turn_id, call_id, NULL, NULL, 'conflicting_spawn_evidence' FROM per WHERE told > 1
+UNION ALL SELECT DISTINCT session_id, thread_id, turn_id, call_id, NULL, NULL, CASE WHEN turn_id = '' THEN 'spawn_missing_turn_id' ELSE 'spawn_missing_call_id' END FROM t WHERE bare
+UNION ALL SELECT DISTINCT session_id, thread_id, turn_id, call_id, NULL, NULL, 'malformed_spawn_arguments' FROM t WHERE NOT bare AND NOT whole
+UNION ALL SELECT DISTINCT session_id, thread_id, turn_id, call_id, NULL, NULL, 'conflicting_spawn_agent_name' FROM t WHERE NOT bare AND listed LIKE '%,%'"""
+)
+def mount_spawn_evidence(spark, sf_dir):
+    events, bad = mounts.spawn_evidence(derive(spark, sf_dir, TOLD).withColumn("names", F.filter(F.split("listed", ","), lambda n: n != "")))
+    key, none = list(mounts.EVENT), F.lit(None).cast("string")
+    return events.select(*key, "task_name", "agent_name", none.alias("code")).unionByName(bad.select(*key, none.alias("task_name"), none.alias("agent_name"), "code"))
+
+
+LINKAGE = "SELECT o_orderkey AS child_id, o_custkey % 40 AS session_id, o_custkey AS thread_id, CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE 'm' END AS subagent_marker, CASE WHEN o_custkey % 9 = 0 AND o_orderkey % 2 = 0 THEN 'other' WHEN o_custkey % 13 = 0 THEN '' ELSE 'p' END AS parent_thread_id, 'r' AS parent_turn_id, '' AS forked_from_thread_id, CASE WHEN o_orderkey % 6 = 0 THEN 'q' ELSE '' END AS said_parent_thread_id, CASE WHEN o_orderkey % 4 = 0 THEN 'r' ELSE '' END AS said_parent_turn_id, '' AS said_forked_from_thread_id FROM {orders}"
+
+
+@query(
+    f"""WITH e AS ({LINKAGE}), v AS (SELECT session_id, thread_id, count(DISTINCT parent_thread_id) > 1 AS a, count(DISTINCT subagent_marker) > 1 AS b FROM e GROUP BY 1, 2), j AS (SELECT * FROM e JOIN v USING (session_id, thread_id)),
+codes AS (SELECT child_id, 'missing_subagent_marker' AS code FROM j WHERE subagent_marker = '' UNION ALL SELECT child_id, 'missing_parent_thread_id' FROM j WHERE parent_thread_id = ''
+  UNION ALL SELECT child_id, 'conflicting_marker_metadata' FROM j WHERE b OR (said_parent_thread_id <> '' AND said_parent_thread_id <> parent_thread_id) UNION ALL SELECT child_id, 'conflicting_parent_thread' FROM j WHERE a)
+SELECT child_id, code FROM codes UNION ALL SELECT child_id, NULL FROM e ANTI JOIN codes USING (child_id)"""
+)
+def mount_admission(spark, sf_dir):
+    rows = derive(spark, sf_dir, LINKAGE)
+    good, bad = mounts.admitted(rows, rows)
+    return good.select("child_id", F.lit(None).cast("string").alias("code")).unionByName(bad)
+
+
 LEAVES = "SELECT o_orderkey AS leaf_id, o_custkey % 40 AS session_id, o_custkey AS thread_id, CAST(floor(o_totalprice) AS BIGINT) % 7 AS length, o_orderkey AS leaf_key FROM {orders}"
 
 
