@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -102,7 +103,9 @@ def _tokenized(path: str, window: int, end: int, places):
         for batch in (x for whole in batches for x in slices(whole)):
             n, full, tail, terms, sketches = [], [], [], [], []
             for text in batch.column("text"):
-                ids = np.array([*encode(text.as_py() or ""), end], "<u4")
+                ids = array("I", encode(text.as_py() or ""))
+                ids.append(end)
+                ids = np.frombuffer(ids, np.uint32).astype("<u4", copy=False)
                 cut = len(ids) // window * window
                 n.append(len(ids))
                 full.append([zlib.crc32(ids[a : a + window].tobytes()) for a in range(0, cut, window)])
@@ -157,15 +160,16 @@ class Index:
         weight = idf[token] * weights(np.concatenate([c[1] for c in terms]), np.array(lengths)[row], mean)
         order = np.argsort(token, kind="stable")
         self.rows, self.weights = row[order], weight[order]
-        known, first = np.unique(token[order], return_index=True)
-        ends = np.append(first, len(token))
-        self.spans = [[slice(ends[k], ends[k + 1]) for k in np.searchsorted(known, c[0])] for c in terms]
-        self.size = len(terms)
+        self.known, self.first = np.unique(token[order], return_index=True)
+        self.ends = np.append(self.first[1:], len(token))
+        self.terms, self.size = terms, len(terms)
 
     def scores(self, row: int) -> np.ndarray:
         """BM25 of all documents for all different tokens of one of them."""
-        spans = self.spans[row]
-        return np.bincount(np.concatenate([self.rows[s] for s in spans]), np.concatenate([self.weights[s] for s in spans]), self.size)
+        spans = np.searchsorted(self.known, self.terms[row][0])
+        first, n = self.first[spans], self.ends[spans] - self.first[spans]
+        at = np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n)
+        return np.bincount(self.rows[at], self.weights[at], self.size)
 
 
 def fill(tails: list[np.ndarray], idf: np.ndarray, mean: float, window: int = WINDOW, terms: list[tuple[np.ndarray, np.ndarray]] | None = None, lengths: list[int] | None = None) -> list[list[tuple[int, int, int]]]:

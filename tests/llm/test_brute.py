@@ -561,6 +561,21 @@ def test_index_is_plain_bm25():
         assert np.allclose(index.scores(q), plain)
 
 
+def test_index_holds_arrays_alone():
+    """No object for each posting: 16 bytes a posting, and something for each token."""
+    import tracemalloc
+
+    r = np.random.default_rng(9)
+    terms = [(np.sort(r.choice(5000, 200, replace=False)), np.ones(200, np.int64)) for _ in range(500)]
+    idf = np.ones(5000)
+    packing.Index(terms[:2], [200, 200], idf, 200.0)
+    tracemalloc.start()
+    index = packing.Index(terms, [200] * 500, idf, 200.0)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert index.size == 500 and held < 20 * 500 * 200
+
+
 def test_neighbours_share_shards(spark):
     """Of the best BM25 neighbours among all documents, more stand in the seed's shard than its share of the rows."""
     rows, idf, mean = packing.dealt(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), shard_rows=128)
