@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import columns, discard, stored, table
 
 NEIGHBOURS, EVERY = 20, 20
-PROJECTED, LEAF = 16, 128
+PROJECTED = 16
 #: Chance, for each true neighbour, that the stopping test has not given it up.
 CONFIDENCE = 0.85
 #: Vectors of a cell on average, of a block of a cell and queries of a block at most; vectors to which the tree of cells is
@@ -28,7 +28,9 @@ CONFIDENCE = 0.85
 CELL_ROWS, BLOCK_ROWS, QUERY_ROWS = 8192, 8192, 2048
 SAMPLE, SAMPLE_CELL = 16_384, 16
 FIRST, WIDER = 4, 4
-VERIFIED_AT_ONCE = 64
+#: Distances up to which projected neighbours are verified at once, as shares of that where the test ends at the latest; pairs
+#: of queries and vectors worked on together; and the relative error that sums of products are taken to have at most.
+SHARES, PAIRS_AT_ONCE, ROUNDING = (0.25, 0.5, 1.0), 1 << 20, 1e-13
 
 
 def chi_square_quantile(p: float, m: int) -> float:
@@ -102,21 +104,20 @@ def box_distances(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.
     return out
 
 
-def search(queries: np.ndarray, far: np.ndarray, vectors: np.ndarray, ids: list[np.ndarray], longest: float, k: int = NEIGHBOURS, confidence: float = CONFIDENCE, leaf: int = LEAF) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+def search(queries: np.ndarray, far: np.ndarray, vectors: np.ndarray, ids: list[np.ndarray], longest: float, k: int = NEIGHBOURS, confidence: float = CONFIDENCE) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """``(query, vectors, scores, verified)``: for each query the found ones of different ``vectors`` and how many were verified.
 
     ``ids`` are the ids under which each vector stands; k + 1 of them are sought, so that k are left when one, the
     query's own, doesn't count. ``far`` is the squared distance within which the query has them elsewhere. A query's
-    projected neighbours are verified one batch after the other, nearest first, on the original coordinates, out of
-    the tree's leaves that may hold them; it ends when the next one is so far that a vector nearer than the k + 1st id so
-    far would be beyond it with a chance of 1 - ``confidence`` at most.
+    projected neighbours are verified one batch after the other, nearest first, on the original coordinates; it ends when
+    the next one is so far that a vector nearer than the k + 1st id so far would be beyond it with a chance of
+    1 - ``confidence`` at most. Alike queries, out of a cell of a kd-tree of them, are worked on together: one matrix product
+    gives their projected distances, another the products with all vectors that the test may leave one of them.
     """
-    points = projected(vectors, longest)
-    tree = Tree(points, -(-len(points) // leaf))
-    low, high = (np.array([f(points[c], axis=0) for c in tree.cells]) for f in (np.min, np.max))
-    asked = projected(queries, longest, query=True)
-    away = box_distances(asked, low, high)
+    points, asked = projected(vectors, longest), projected(queries, longest, query=True)
+    lengths, asked_lengths, n = (points**2).sum(axis=1), (asked**2).sum(axis=1), len(points)
     limit, repeated = chi_square_quantile(confidence, PROJECTED), sum(map(len, ids)) > len(np.unique(np.concatenate(ids)))
+    at_once = max(1, PAIRS_AT_ONCE // n)
 
     def reach(norm: float, found: np.ndarray, scores: np.ndarray) -> float:
         """Squared distance within which k + 1 ids are found."""
@@ -129,32 +130,31 @@ def search(queries: np.ndarray, far: np.ndarray, vectors: np.ndarray, ids: list[
                 return norm - 2 * scores[at]
         return np.inf
 
-    for r, q in enumerate(queries):
-        norm, near = (q**2).sum() + longest**2, far[r]
-        leaves = np.argsort(away[r], kind="stable")
-        opened = np.cumsum([len(tree.cells[c]) for c in leaves])
-        first = leaves[: int(np.searchsorted(opened, 4 * (k + 1))) + 1]
-        found = np.concatenate([tree.cells[c] for c in first])
-        if np.isfinite(near):
-            found = found[:0]
-        else:
-            found = found[np.argsort(((points[found] - asked[r]) ** 2).sum(axis=1), kind="stable")[: 2 * (k + 1)]]
-        scores = vectors[found] @ q
-        near = min(near, reach(norm, found, scores))
-        open_ = [tree.cells[c] for c in leaves if away[r, c] < limit * near]
-        rest = np.concatenate(open_) if open_ else found[:0]
-        rest = rest[~np.isin(rest, found)]
-        apart = ((points[rest] - asked[r]) ** 2).sum(axis=1)
-        rest, apart = rest[apart < limit * near], apart[apart < limit * near]
-        order = np.argsort(apart, kind="stable")
-        rest, apart, at, size = rest[order], apart[order], 0, VERIFIED_AT_ONCE
-        while at < len(rest) and apart[at] < limit * near:
-            more = rest[at : at + size]
-            found, scores = np.concatenate([found, more]), np.concatenate([scores, vectors[more] @ q])
-            near = min(near, reach(norm, found, scores))
-            at, size = at + size, 2 * size
-        keep = norm - 2 * scores <= near + 1e-9 * (1 + abs(near)) if np.isfinite(near) else np.ones(len(found), bool)
-        yield r, found[keep], (vectors[found[keep]] * q).sum(axis=1), len(found)
+    alike = Tree(asked, -(-len(asked) // at_once)).cells
+    for rows in (own[c : c + at_once] for own in alike for c in range(0, len(own), at_once)):
+        q, norms, near = queries[rows], (queries[rows] ** 2).sum(axis=1) + longest**2, far[rows].copy()
+        # less what rounding may have added, so that none is taken to be farther than it is
+        apart = (asked_lengths[rows, None] + lengths) - 2 * (asked[rows] @ points.T) - ROUNDING * (asked_lengths[rows, None] + lengths.max())
+        blind = np.flatnonzero(~np.isfinite(near))
+        if len(blind):
+            first = np.argpartition(apart[blind], min(2 * (k + 1), n) - 1, axis=1)[:, : 2 * (k + 1)]
+            for j, own, scores in zip(blind.tolist(), first, np.einsum("rkd,rd->rk", vectors[first], q[blind]), strict=True):
+                near[j] = reach(norms[j], own, scores)
+                apart[j, own] = -np.inf
+        ends = limit * np.maximum(near, ROUNDING * norms)
+        open_ = np.flatnonzero((apart < ends[:, None]).any(axis=0))
+        apart, products = apart[:, open_], q @ vectors[open_].T
+        for r, own, scores, norm, within, end in zip(rows.tolist(), apart, products, norms.tolist(), near.tolist(), ends.tolist(), strict=True):
+            for share in SHARES:
+                to = share * end
+                seen = own < to
+                good = np.flatnonzero(seen & (scores >= (norm - within) / 2 - ROUNDING * norm))
+                within = min(within, reach(norm, open_[good], scores[good]))
+                if to >= limit * within:
+                    break
+            good = good[norm - 2 * scores[good] <= within + 1e-9 * (1 + abs(within)) + ROUNDING * norm]
+            found = open_[good]
+            yield r, found, (vectors[found] * queries[r]).sum(axis=1), int(np.count_nonzero(seen))
 
 
 class Index:
@@ -242,8 +242,8 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEIGHBOURS, confide
     Equal vectors are one point, of which the k + 1 smallest ids are kept, each with its rows, k at most: whichever id
     asks, the k first others are among them. Points are dealt to cells of a kd-tree in the projected space, which is fitted
     to some SAMPLE of them; the cells' boxes cover all. A query visits its nearest cells first, then four times as many a
-    round, as long as the chi-square test leaves one that may hold a nearer neighbour; in a cell (:func:`search`) a kd-tree
-    gives its projected neighbours until the test holds. Cells are worked on in blocks of bounded size, and so are
+    round, as long as the chi-square test leaves one that may hold a nearer neighbour; in a cell (:func:`search`) its
+    projected neighbours are verified, nearest first, until the test holds. Cells are worked on in blocks of bounded size, and so are
     the queries of a cell; equal queries are searched once. The driver gets the sample and two rows for each cell.
 
     Null ids, and vectors that are null, empty, zero or hold a null or a number that is not finite take no part; vectors of
@@ -301,9 +301,10 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEIGHBOURS, confide
         right = celled.join(per_cell, ["dims", "cell", "block"]).withColumn("side", F.explode(F.sequence(F.lit(0).cast("long"), F.col("asking") - 1))).select("dims", "cell", "block", "side", "embedding", "ids")
         key = ["dims", "cell", "block", "side"]
         found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(_verified({d: i.longest for d, i in index.items()}, k, confidence), "qid long, vec_id long, n long, score double, verified long")
-        found = stored(_best(found if best is None else best.union(found), k), "best")
-        discard(asks, per_cell, *([best] if best is not None else []))
-        best, first, last = found, last, last + (last - first) * WIDER
+        found = stored(found, "found")  # read three times below
+        held = stored(_best(found if best is None else best.union(found), k), "best")
+        discard(asks, per_cell, found, *([best] if best is not None else []))
+        best, first, last = held, last, last + (last - first) * WIDER
     seen = best.groupBy("qid").agg(F.sum("verified").alias("n_verified"))
     rows = askers.join(best.where("vec_id IS NOT NULL"), "qid").where("vec_id <> query_id").select("query_id", "qid", "vec_id", "score", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

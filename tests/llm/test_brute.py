@@ -491,6 +491,34 @@ def test_neighbours_of_clusters_in_many_cells(spark, monkeypatch):
     assert found.drop_duplicates("query_id")["n_verified"].mean() < 0.4 * 3301
 
 
+def test_queries_of_a_block_are_searched_together():
+    """Matrix products for many queries at once: a query itself costs few calls, and finds what the test leaves it."""
+    import sys
+
+    r = np.random.default_rng(8)
+    x = r.normal(size=(3000, 32))
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    q, ids, longest = x[:150], [np.array([i]) for i in range(3000)], float(np.sqrt((x * x).sum(axis=1)).max())
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        out = list(neighbours.search(q, np.full(150, np.inf), x, ids, longest, confidence=0.99))
+    finally:
+        sys.setprofile(None)
+    assert calls - 2 * 3000 < 130 * 150
+    assert sorted(o[0] for o in out) == list(range(150))
+    hit = 0
+    for k, found, scores, verified in out:
+        assert np.array_equal(scores, (x[found] * q[k]).sum(axis=1)) and len(found) > 20 and 20 < verified <= 3000
+        hit += len(set(np.argsort(-(x @ q[k]), kind="stable")[:21].tolist()) & set(found.tolist()))
+    assert hit >= 0.97 * 21 * 150
+
+
 def test_rows_of_the_querys_own_id_take_no_place(spark):
     rows = [(20, [1.0, 0.0])] * 30 + [(k, [1.0, 0.0]) for k in range(21, 40)] + [(20, [0.9, k / 100]) for k in range(25)] + [(45, [0.5, 0.5])] * 3
     out = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()
