@@ -403,6 +403,27 @@ def test_step_follows_the_slope():
         assert np.isclose(moved[row, column] * np.sqrt(net.moved[row] + 1) / 0.1, slope, atol=2e-2, rtol=2e-2)
 
 
+def test_slopes_of_words_are_summed_in_their_order():
+    """The slopes of a window's words meet in sorted runs: only nodes have a table; a step is that of the plain sums."""
+    r = np.random.default_rng(4)
+    size, ids = 300, r.integers(0, 300, 2000)
+    around = np.where(r.random((4, 2000)) < 0.3, 7, r.integers(0, size + 1, (4, 2000)))  # one word is common
+    par = pseudo_likelihood.untrained(np.bincount(ids, minlength=size).astype(float), 6)
+    whole = pseudo_likelihood.Network(size, par.copy())
+    whole.walk(around, ids, 0.1)
+    assert len(whole.slopes) == len(par) - 4 * (size + 1)
+    # the slope of a word's row is the sum over the tokens that see it, each taken alone
+    alone = np.zeros((len(par), 7))
+    for k in range(2000):
+        one = pseudo_likelihood.Network(size, par.copy())
+        one.walk(around[:, k : k + 1], ids[k : k + 1], 0.1)
+        alone += (one.par - par) * np.sqrt(one.moved + 1)[:, None] / 0.1
+    mine = (whole.par - par) * np.sqrt(whole.moved + 1)[:, None] / 0.1
+    assert np.allclose(mine, alone, atol=1e-2, rtol=1e-3)
+    by, ordered = pseudo_likelihood.ranked(ids)
+    assert (by == np.argsort(ids, kind="stable")).all() and (ordered == ids[by]).all()
+
+
 def test_vocabulary_grows_and_rare_words_differ(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(pseudo_likelihood, "train_parts", lambda t, known, counts, *a, real=pseudo_likelihood.train_parts: seen.append(len(known)) or real(t, known, counts, *a))
